@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import splitting
+from corpusloom.llm import packing, splitting
 from corpusloom.sources.tables import table
 
 SECTION_LIMIT, PART_LIMIT, OVERLAP = 16_000, 8_192, 200
@@ -35,8 +35,23 @@ SELECT 'documents' AS item_table, doc_id AS item_id FROM documents WHERE length(
 """
 
 
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents that the layout had to divide."""
+    return p6_containers(spark, folder).where((F.col("piece_no") == 0) & (F.col("n_pieces") > 1)).select(F.col("item_id").alias("doc_id"))
+
+
+def p6_containers(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.containers(table(spark, folder, "documents"), "doc_id", "text")
+
+
+def p6_fill(spark: SparkSession, folder: str) -> DataFrame:
+    """How many containers are filled to which percentage."""
+    fill = p6_containers(spark, folder).groupBy("container_id").agg(F.sum("n_tokens").alias("n_tokens"))
+    return fill.groupBy(F.floor(F.col("n_tokens") * 100 / packing.CAPACITY).alias("percent")).agg(F.count("*").alias("n_containers"), F.sum("n_tokens").alias("n_tokens"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_pieces)}
+    return {f.__name__: f for f in (p1_found, p1_pieces, p6_found, p6_containers, p6_fill)}
 
 
 def oracle_sql() -> dict[str, str]:
