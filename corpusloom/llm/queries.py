@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import packing, splitting
+from corpusloom.llm import leakage, packing, splitting
 from corpusloom.sources.tables import table
 
 SECTION_LIMIT, PART_LIMIT, OVERLAP = 16_000, 8_192, 200
@@ -50,9 +50,28 @@ def p6_fill(spark: SparkSession, folder: str) -> DataFrame:
     return fill.groupBy(F.floor(F.col("n_tokens") * 100 / packing.CAPACITY).alias("percent")).agg(F.count("*").alias("n_containers"), F.sum("n_tokens").alias("n_tokens"))
 
 
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p7_leaks(spark, folder).select("item_id", "doc_id").distinct()
+
+
+def p7_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Every leak with the longest run of shared words."""
+    return leakage.leaks(table(spark, folder, "documents"), "doc_id", "text", table(spark, folder, "eval_items"), "item_id", "item_text")
+
+
+_WORDS = "regexp_extract_all(lower(strip_accents({0})), '[\\p{{L}}\\p{{N}}]+')"
+P7_FOUND = f"""
+WITH d AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents),
+     i AS (SELECT item_id, {_WORDS.format("item_text")} AS w FROM eval_items),
+     iw AS (SELECT DISTINCT item_id, array_to_string(w[k:k + 11], ' ') AS g FROM i, LATERAL (SELECT unnest(range(1, len(w) - 10)) AS k)),
+     dw AS (SELECT doc_id, array_to_string(w[k:k + 11], ' ') AS g FROM d, LATERAL (SELECT unnest(range(1, len(w) - 10)) AS k))
+SELECT DISTINCT item_id, doc_id FROM dw JOIN iw USING (g)
+"""
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_pieces, p6_found, p6_containers, p6_fill)}
+    return {f.__name__: f for f in (p1_found, p1_pieces, p6_found, p6_containers, p6_fill, p7_found, p7_leaks)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_FOUND}
+    return {"p1_found": P1_FOUND, "p7_found": P7_FOUND}
