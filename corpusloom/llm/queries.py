@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import history, leakage, packing, splitting
+from corpusloom.llm import history, leakage, packing, pagebody, splitting
 from corpusloom.sources.tables import table
 
 SECTION_LIMIT, PART_LIMIT, OVERLAP = 16_000, 8_192, 200
@@ -35,6 +35,10 @@ SELECT 'documents' AS item_table, doc_id AS item_id FROM documents WHERE length(
 """
 
 
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return pagebody.main_lines(table(spark, folder, "page_elements"), table(spark, folder, "manifest").select("doc_id", "url"))
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     pairs = history.repeats(table(spark, folder, "documents"), "doc_id", "text", "batch_no")
     return pairs.select(F.least("doc_id", "other").alias("doc_id_a"), F.greatest("doc_id", "other").alias("doc_id_b"))
@@ -75,7 +79,7 @@ SELECT DISTINCT item_id, doc_id FROM dw JOIN iw USING (g)
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_pieces, p4_found, p6_found, p6_containers, p6_fill, p7_found, p7_leaks)}
+    return {f.__name__: f for f in (p1_found, p1_pieces, p3_found, p4_found, p6_found, p6_containers, p6_fill, p7_found, p7_leaks)}
 
 
 def oracle_sql() -> dict[str, str]:
