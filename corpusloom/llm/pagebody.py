@@ -10,7 +10,7 @@ of `FRAME` or more are pruned.  Sites of few pages lean on the same node's share
 in all other sites.  Pruning goes up the tree: a line whose parts but the last
 are pruned goes (menus with the current entry marked, breadcrumbs), nodes
 without any word have no features and so no importance (counters), pictures
-that only name the site go, and below a pruned heading the branch of entries
+and lines that only name the site go, and below a pruned heading the branch of entries
 that look like titles or teasers goes with it.  The headline, known by the
 page's URL or by standing before the text, and recurring subheadings stay.
 
@@ -111,10 +111,9 @@ def page_nodes(site: str | None, url: str | None, elements: list[tuple]) -> tupl
                 shape |= EMPTY
             if kind == "image":
                 shape |= IMAGE
-                words = [w for w in re.findall(r"\w+", line.casefold()) if w != brand_name.casefold()]
-                if brand_name and brand_name.casefold() in line.casefold() and len(words) <= 1:
-                    shape |= LOGO
-            elif entry_like(line):
+            if brand_name and len(line) < 80 and brand_name.casefold() in (words := re.findall(r"\w+", line.casefold())) and len(words) <= 2:
+                shape |= LOGO
+            elif kind != "image" and entry_like(line):
                 shape |= TITLE
                 own = _SLUG.sub("-", line.lower()).strip("-")
                 if len(own) >= 6 and slug.startswith(own + "-"):
