@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import history, leakage, packing, pagebody, splitting
+from corpusloom.llm import history, leakage, packing, pagebody, splitting, truncation
 from corpusloom.sources.tables import table
 
 SECTION_LIMIT, PART_LIMIT, OVERLAP = 16_000, 8_192, 200
@@ -78,8 +78,20 @@ SELECT DISTINCT item_id, doc_id FROM dw JOIN iw USING (g)
 """
 
 
+def p8_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return truncation.scored(table(spark, folder, "documents"), "doc_id", "text", "source")
+
+
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p8_scores(spark, folder).where("is_cut").select("doc_id")
+
+
+def p8_rates(spark: SparkSession, folder: str) -> DataFrame:
+    return truncation.rates(p8_scores(spark, folder))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_pieces, p3_found, p4_found, p6_found, p6_containers, p6_fill, p7_found, p7_leaks)}
+    return {f.__name__: f for f in (p1_found, p1_pieces, p3_found, p4_found, p6_found, p6_containers, p6_fill, p7_found, p7_leaks, p8_found, p8_scores, p8_rates)}
 
 
 def oracle_sql() -> dict[str, str]:
