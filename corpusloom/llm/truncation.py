@@ -64,7 +64,8 @@ _FORMS = (
     ("time", re.compile(r"^\[\d+:\d+\]")),
 )
 #: Lines of these forms say by their form whether they are whole; their words count for nothing.
-STRUCTURED = ("url", "command", "tags", "row", "dash_name")
+STRUCTURED = ("url", "command", "tags", "row", "dash_name", "sign")
+_SIGN = re.compile(r"\n\s*\n\w+(?: \w+){0,2},?\n[^\W\d_a-z]\w+(?: [^\W\d_a-z]\w+){0,2}$")
 
 
 def _hash(text: str) -> int:
@@ -83,7 +84,9 @@ def _masked(token: str, first: bool) -> str:
     return token.casefold()
 
 
-def _form(line: str) -> str:
+def _form(line: str, core: str = "") -> str:
+    if core and _SIGN.search(core[-120:]):
+        return "sign"
     for name, pattern in _FORMS:
         if pattern.search(line):
             return name
@@ -116,7 +119,7 @@ def features(tail: str, near: int) -> tuple[list[int], int]:
     words = [_masked(t, i == 0) for i, t in enumerate(tokens)]
     closing = [w for w in words if w[0].isalnum()]
     raw_last = next((t for t in reversed(tokens) if t[0].isalnum()), "")
-    form, n = _form(last), _bucket(len(closing))
+    form, n = _form(last, core), _bucket(len(closing))
     kind = "end" if ended else core[-1:] if core and not core[-1].isalnum() else "alnum"
     one, two, three = (" ".join(closing[-k:]) for k in (1, 2, 3))
     head, head2 = " ".join(closing[:1]), " ".join(closing[:2])
@@ -139,7 +142,7 @@ def features(tail: str, near: int) -> tuple[list[int], int]:
 def unknown_features(tail: str, slot: int, known: np.ndarray) -> list[int]:
     """What the vocabulary says about the last word of an unfinished text."""
     core = _MARKS.sub("", tail.rstrip())
-    form = _form(core.rpartition("\n")[2])
+    form = _form(core.rpartition("\n")[2], core)
     if slot < 0 or known[slot] or form in STRUCTURED:
         return [_hash("known")]
     word = re.search(r"[^\W_]+[^\w]*$", core)
@@ -232,7 +235,7 @@ def fit_cleaned(rows: list[tuple[list[int], int]], rounds: int = 3) -> tuple[np.
         found = set()
         for half in (0, 1):
             weights = fit([(f, int(kind == CUT)) for i, (f, kind) in enumerate(rows) if i % 4 // 2 != half and i not in out])
-            found |= {i for i, (f, kind) in enumerate(rows) if kind == REAL and i % 4 // 2 == half and weights[f].sum() > -0.5}
+            found |= {i for i, (f, kind) in enumerate(rows) if kind == REAL and i % 4 // 2 == half and weights[f].sum() > 0}
         out = found
     return fit([(f, int(kind == CUT)) for i, (f, kind) in enumerate(rows) if i not in out]), len(out)
 
