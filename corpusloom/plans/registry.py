@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from corpusloom.plans import problems
+from corpusloom.plans import problems, scalars
 
-MODULES = (problems,)
+MODULES = (problems, scalars)
 
 
 def queries() -> dict:
