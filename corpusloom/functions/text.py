@@ -12,8 +12,8 @@ from pyspark.sql.types import StringType
 #: Fixed value: what counts as white space, Unicode's included.
 SPACE = r"[\t-\r \x1c-\x1f\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
-#: Metadata keys that are bookkeeping, not content.
-RESERVED_KEYS = ("fingerprint", "content_hash", "config_sig", "last_updated", "parent_doc_id", "source", "sitemap_lastmod", "pub_date", "crawl_time")
+#: Metadata keys that are bookkeeping, not content.
+RESERVED_KEYS = ("fingerprint", "content_hash", "config_sig", "source", "parent_doc_id", "last_updated", "file_name", "sitemap_lastmod", "crawl_date", "crawl_date_int")
 
 
 def collapse_space(c: Column) -> Column:

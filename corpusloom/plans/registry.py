@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from corpusloom.plans import problems, scalars
+from corpusloom.plans import assembly, problems, scalars
 
-MODULES = (problems, scalars)
+MODULES = (problems, scalars, assembly)
 
 
 def queries() -> dict:
