@@ -74,7 +74,11 @@ def distinct_urls(c: Column) -> Column:
 def canonical_map(m: Column) -> Column:
     """A map as one text with sorted keys, to be hashed."""
     pairs = F.array_sort(F.map_entries(m))
-    return F.concat(F.lit("{"), F.array_join(F.transform(pairs, lambda e: F.concat(F.to_json(F.struct(e["key"].alias("k"))), F.lit(":"), F.coalesce(e["value"], F.lit("null")))), ","), F.lit("}"))
+    return F.concat(F.lit("{"), F.array_join(F.transform(pairs, lambda e: F.concat(_quoted(e["key"]), F.lit(":"), F.coalesce(_quoted(e["value"]), F.lit("null")))), ","), F.lit("}"))
+
+
+def _quoted(c: Column) -> Column:
+    return F.concat(F.lit('"'), F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"'))
 
 
 def strip_fences(c: Column) -> Column:

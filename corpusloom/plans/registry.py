@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from corpusloom.plans import assembly, problems, scalars
+from corpusloom.plans import assembly, maintenance, problems, scalars
 
-MODULES = (problems, scalars, assembly)
+MODULES = (problems, scalars, assembly, maintenance)
 
 
 def queries() -> dict:
