@@ -248,10 +248,11 @@ _PERMISSIONS = """SELECT rec_id, unnest(from_json(json_extract_string(payload, '
 
 
 def _permissions(spark, folder):
-    kind = "array<struct<id:string,type:string,role:string,emailAddress:string,domain:string,deleted:boolean>>"
+    # element by element, so that one odd element doesn't lose the others
+    kind = "struct<id:string,type:string,role:string,emailAddress:string,domain:string,deleted:boolean>"
     raw = F.get_json_object("payload", "$.metadata.permissions")
     rows = table(spark, folder, "raw_records").select("rec_id", F.ltrim("payload", F.lit("\ufeff")).alias("payload")).where(F.try_parse_json("payload").isNotNull() & raw.startswith("["))
-    return rows.select("rec_id", F.explode(F.from_json(raw, kind)).alias("p")).where("p is not null").select("rec_id", "p.id", "p.type", "p.role", F.col("p.emailAddress").alias("email"), "p.domain", "p.deleted")
+    return rows.select("rec_id", F.explode(F.from_json(raw, "array<string>")).alias("e")).where("e like '{%'").select("rec_id", F.from_json("e", kind).alias("p")).select("rec_id", "p.id", "p.type", "p.role", F.col("p.emailAddress").alias("email"), "p.domain", "p.deleted")
 
 
 @query(
