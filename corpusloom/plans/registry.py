@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from corpusloom.plans import assembly, maintenance, problems, scalars
+from corpusloom.plans import assembly, connectors, maintenance, problems, scalars
 
-MODULES = (problems, scalars, assembly, maintenance)
+MODULES = (problems, scalars, assembly, maintenance, connectors)
 
 
 def queries() -> dict:
