@@ -15,8 +15,8 @@ hot group.  Column pruning: without `leaves` only presence columns are kept.
 Defined results: a null, empty, unreadable or non-object payload gives no rows;
 a repeated delivery gives its rows again under its own id; null elements and
 other non-objects take a position but give no row; an empty object gives a row;
-of a key that an object has twice the last counts; nesting of 400 levels
-or more is unreadable.  Extra columns of the input are not read.
+of a key that an object has twice the last counts; nesting of 300 levels
+or more (100 in a string) is unreadable.  Extra columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -71,7 +71,7 @@ def readable(payload: str | None, envelopes: Iterable[str] = ENVELOPES) -> dict
     return doc if isinstance(doc, dict) else None
 
 
-def _shallow(doc: dict, limit: int = 400) -> bool:
+def _shallow(doc: dict, limit: int = 300) -> bool:
     """Whether the text is nested less than `limit` deep, arrays in strings included once they are read; no recursion here."""
     layer, depth = [doc], 0
     while layer and depth < limit:
@@ -94,7 +94,7 @@ def _as_array(value, key: str, repeated: frozenset):
                 inner = json.loads(value)
             except (ValueError, RecursionError):
                 return value
-            return inner if type(inner) is list else value
+            return inner if type(inner) is list and _shallow({key: inner}, 100) else value
     return value
 
 

@@ -31,7 +31,7 @@ def read_separated(spark: SparkSession, path: str, separator: str | None = None,
     """
     sep = separator or next((s for e, s in SEPARATORS.items() if path.lower().endswith(e)), ",")
     encoding = encodings[0]
-    if len(encodings) > 1 and not spark.read.text(path).where(F.contains("value", F.lit("�"))).limit(1).isEmpty():
+    if len(encodings) > 1 and not spark.read.text(path).where(~F.is_valid_utf8("value")).limit(1).isEmpty():
         encoding = encodings[1]
     reader = spark.read.option("sep", sep).option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').option("encoding", encoding)
     return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
