@@ -131,7 +131,7 @@ def body_lines(copies: list[int], codes: list[int], shapes: list[int], parts: li
     pruned = [False] * n
     for i in range(n):
         shape, own = shapes[i], parts[i]
-        pruned[i] = bool(shape & (EMPTY | LOGO)) or codes[i] in frame or (len(own) > 1 and all(p in frame for p in own[:-1]))
+        pruned[i] = bool(shape & (EMPTY | LOGO)) or (codes[i] in frame and not shape & HEADLINE) or (len(own) > 1 and all(p in frame for p in own[:-1]))
     order = [i for i in range(n) if copies[i] == i and not shapes[i] & IMAGE]
     headline = any(shapes[i] & HEADLINE and not pruned[i] for i in order)
     k = 0

@@ -1,6 +1,6 @@
 """Texts whose end was lost, by a classifier trained on artificially cut texts.
 
-Texts that end in a full stop are cut at chosen places, at their source's usual
+Texts, up to their last full stop, are cut at chosen places, at their source's usual
 limit or anywhere else, now and then with a mark of elision or of broken markup
 behind; these are the positives.  The other class is the records as they are:
 few of them are cut, so what only finished texts end in (lists, signatures,
@@ -51,6 +51,7 @@ VOCABULARY_BITS = 20
 _MARKS = re.compile(r"(?:[\s<\[({*_~`|\\�]|\.{3,}|…|\[\.{3}\]|\[…\]|--+$|&\w*$)+$")
 _FINISHED = re.compile(r"[.!?。！？][\"'”’»)\]]*$")
 _SENTENCE = re.compile(r"(?<=[.!?。！？])[\"'”’»)\]]*\s+|\n+")
+_SENTENCE_END = re.compile(r"[.!?](?=\s|$)")
 _TOKEN = re.compile(r"[^\W_]+|[^\w\s]|_")
 _LEAD = re.compile(r"^\s*(?:[-*•→]\s+|\[\d+:\d+\]\s*|[\w.]{3,24}:\s+|#+\s+)")
 _FORMS = (
@@ -152,11 +153,13 @@ def unknown_features(tail: str, slot: int, known: np.ndarray) -> list[int]:
 
 
 def artificial(text: str, seed: int, limits: list[int], times: int = CUTS) -> list[tuple[str, int]]:
-    """(cut text, near) positives out of a finished text."""
+    """(cut text, near) positives out of a text up to the end of its last finished sentence."""
     rng = np.random.default_rng(seed & 0x7FFFFFFF)
     out = []
-    if not _FINISHED.search(text.rstrip()) or len(text) < 60:
+    ends = [m.end() for m in _SENTENCE_END.finditer(text)]
+    if not ends or ends[-1] < 60:
         return out
+    text = text[: ends[-1]]
     possible = [x for x in limits if 40 < x < len(text) - 1]
     for _ in range(times):
         at_limit = bool(possible) and rng.random() < 0.5
@@ -165,7 +168,7 @@ def artificial(text: str, seed: int, limits: list[int], times: int = CUTS) -> li
         cut = text[:at]
         if style < 0.35 and text[at : at + 1].isalnum() and " " in cut:
             cut = cut[: cut.rindex(" ")]
-        if at_limit and rng.random() < 0.25:
+        if at_limit and rng.random() < 0.5:
             # a shortener's elision stands at a limit, after a word
             cut, tail = cut.rsplit(" ", 1)[0], str(rng.choice(["...", "…", " ..."]))
         elif not at_limit and rng.random() < 0.2:
@@ -182,7 +185,7 @@ def artificial(text: str, seed: int, limits: list[int], times: int = CUTS) -> li
 
 def trailing_dots(text: str, seed: int) -> list[str]:
     """A negative out of a finished text: it ends after one of its sentences, with dots for the full stop."""
-    ends = [m.start() for m in re.finditer(r"[.!?](?=\s|$)", text)]
+    ends = [m.start() for m in _SENTENCE_END.finditer(text)]
     return [text[: ends[seed % len(ends)]] + "..."] if ends else []
 
 
@@ -270,7 +273,7 @@ def _prepared(docs: DataFrame, key: str, text: str, source: str) -> DataFrame:
     """(k, t, source, n_chars, n_bytes) of the records with a text."""
     t = F.col(f"`{text}`")
     rows = docs.select(F.col(f"`{key}`").alias("k"), t.alias("t"), F.coalesce(F.col(f"`{source}`").cast("string"), F.lit("")).alias("source"))
-    return rows.where("t is not null and trim(t) <> ''").select("k", "t", "source", F.length("t").alias("n_chars"), F.octet_length("t").alias("n_bytes"))
+    return rows.where(F.col("t").rlike(r"\S")).select("k", "t", "source", F.length("t").alias("n_chars"), F.octet_length("t").alias("n_bytes"))
 
 
 def train(rows: DataFrame, limit_of: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
