@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from corpusloom.plans import assembly, connectors, maintenance, problems, scalars
+from corpusloom.plans import assembly, connectors, maintenance, problems, records, scalars
 
-MODULES = (problems, scalars, assembly, maintenance, connectors)
+MODULES = (problems, scalars, assembly, maintenance, connectors, records)
 
 
 def queries() -> dict:
