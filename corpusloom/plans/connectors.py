@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import html, text, urls
 from corpusloom.operators import relational, stages
+from corpusloom.operators.split import fixed_cuts
 from corpusloom.session import shared_dir
 from corpusloom.sources.files import table_kind
 from corpusloom.sources.tables import table
@@ -220,9 +221,9 @@ def pages_last_modified(spark, folder):
     return inline(spark, _PAGES, "h").select(m.alias("m")).select("m.method", "m.utc_us")
 
 
-@query("SELECT doc_id, CASE WHEN length(coalesce(title, '')) > length(coalesce(left(text, 30), '')) THEN title ELSE left(text, 30) END AS best FROM documents")
+@query("SELECT doc_id, md5(CASE WHEN length(coalesce(title, '')) > length(coalesce(text, '')) THEN title ELSE text END) AS best FROM documents")
 def longer_extraction(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", html.longer_text(F.col("title"), F.substring("text", 1, 30)).alias("best"))
+    return table(spark, folder, "documents").select("doc_id", F.md5(html.longer_text(F.col("title"), F.col("text"))).alias("best"))
 
 
 @query("SELECT entry_id, regexp_replace(regexp_extract(url, '([^/]+)/?$', 1), '[-_]', ' ', 'g') AS stem_title FROM manifest WHERE url IS NOT NULL")
@@ -242,11 +243,14 @@ def meta_refreshes(spark, folder):
 
 # stages and streams
 
-@query("SELECT sec_id, left(text, 100) || chr(10) || concat_ws(': ', nullif(coalesce(title, ''), ''), nullif(regexp_extract(text, '^\\s*([^.!?\\n]+[.!?]?)', 1), '')) AS chunk FROM doc_sections WHERE coalesce(text, '') <> '' AND concat_ws(': ', nullif(coalesce(title, ''), ''), nullif(regexp_extract(text, '^\\s*([^.!?\\n]+[.!?]?)', 1), '')) <> ''")
+_LEAD = "concat_ws(': ', nullif(coalesce(title, ''), ''), nullif(regexp_extract(text, '^\\s*([^.!?\\n]+[.!?]?)', 1), ''))"
+
+
+@query(f"SELECT sec_id, (k // 512)::BIGINT AS chunk_no, md5(substring(text, k + 1, 512) || CASE WHEN {_LEAD} <> '' THEN chr(10) || {_LEAD} ELSE '' END) AS chunk FROM doc_sections, LATERAL (SELECT unnest(range(0, length(text), 512)) AS k) WHERE text IS NOT NULL")
 def contextual_chunks(spark, folder):
-    rows = table(spark, folder, "doc_sections").where("coalesce(text, '') <> ''")
-    context = F.concat_ws(": ", F.nullif(F.coalesce("title", F.lit("")), F.lit("")), F.nullif(stages.first_sentence(F.col("text")), F.lit("")))
-    return rows.where(context != "").select("sec_id", stages.contextual_chunk(F.substring("text", 1, 100), F.col("title"), F.col("text")).alias("chunk"))
+    """Chunks of every section, each with a line of context."""
+    rows = table(spark, folder, "doc_sections").where("text is not null").select("sec_id", "title", "text", F.posexplode(fixed_cuts(F.col("text"))).alias("chunk_no", "c"))
+    return rows.select("sec_id", F.col("chunk_no").cast("long").alias("chunk_no"), F.md5(stages.contextual_chunk(F.col("c"), F.col("title"), F.col("text"))).alias("chunk"))
 
 
 @query("SELECT elem_id, CASE WHEN length(content) < 40 THEN upper(content) ELSE '' END AS summary FROM page_elements WHERE element_type = 'table'")

@@ -287,10 +287,10 @@ def substituted_names(spark, folder):
     return relational.substituted(rows, "o_orderkey", "m", names, r"<@(\d+)>")
 
 
-@query("SELECT doc_id, text[1:50] AS head, crawler_type, locale FROM documents LEFT JOIN sources USING (source)")
+@query("SELECT doc_id, title, crawler_type, locale FROM documents LEFT JOIN sources USING (source)")
 def decorated_documents(spark, folder):
-    rows = table(spark, folder, "documents").select("doc_id", "source", F.substring("text", 1, 50).alias("head"))
-    return rows.join(table(spark, folder, "sources").select("source", "crawler_type", "locale"), "source", "left").select("doc_id", "head", "crawler_type", "locale")
+    rows = table(spark, folder, "documents").select("doc_id", "source", "title")
+    return rows.join(table(spark, folder, "sources").select("source", "crawler_type", "locale"), "source", "left").select("doc_id", "title", "crawler_type", "locale")
 
 
 # order, limits, sets
@@ -330,13 +330,13 @@ def last_seen(spark, folder):
 
 # traversals
 
-_EDGES = "SELECT DISTINCT 'p' || l_partkey AS src, 's' || l_suppkey AS dst FROM lineitem WHERE l_quantity > 45 UNION SELECT DISTINCT 's' || l_suppkey, 'p' || l_partkey FROM lineitem WHERE l_quantity > 45"
+_EDGES = "SELECT DISTINCT 'p' || l_partkey AS src, 's' || l_suppkey AS dst FROM lineitem UNION SELECT DISTINCT 's' || l_suppkey, 'p' || l_partkey FROM lineitem"
 
 
 @query(f"WITH RECURSIVE e AS MATERIALIZED ({_EDGES}), r(id, depth) AS (SELECT 'p1', 0 UNION SELECT e.dst, r.depth + 1 FROM r JOIN e ON e.src = r.id WHERE r.depth < 3) SELECT id, min(depth) AS depth FROM r GROUP BY id")
 def reached_pages(spark, folder):
     """Breadth first over links, three steps deep."""
-    l = table(spark, folder, "lineitem").where("l_quantity > 45").select(F.concat(F.lit("p"), "l_partkey").alias("p"), F.concat(F.lit("s"), "l_suppkey").alias("s")).distinct()
+    l = table(spark, folder, "lineitem").select(F.concat(F.lit("p"), "l_partkey").alias("p"), F.concat(F.lit("s"), "l_suppkey").alias("s")).distinct()
     edges = l.select(F.col("p").alias("src"), F.col("s").alias("dst")).union(l.select("s", "p"))
     return graph.reach(spark.sql("SELECT 'p1' AS id"), edges, 3)
 
@@ -344,7 +344,7 @@ def reached_pages(spark, folder):
 @query(f"WITH RECURSIVE e AS MATERIALIZED (SELECT * FROM ({_EDGES}) WHERE NOT regexp_matches(dst, '^(?:p.*[05])$')), r(id, depth) AS (SELECT 'p1', 0 UNION SELECT e.dst, r.depth + 1 FROM r JOIN e ON e.src = r.id WHERE r.depth < 2) SELECT id, min(depth) AS depth FROM r GROUP BY id")
 def reached_allowed_pages(spark, folder):
     """The same with a negative pattern on where links lead."""
-    l = table(spark, folder, "lineitem").where("l_quantity > 45").select(F.concat(F.lit("p"), "l_partkey").alias("p"), F.concat(F.lit("s"), "l_suppkey").alias("s")).distinct()
+    l = table(spark, folder, "lineitem").select(F.concat(F.lit("p"), "l_partkey").alias("p"), F.concat(F.lit("s"), "l_suppkey").alias("s")).distinct()
     edges = l.select(F.col("p").alias("src"), F.col("s").alias("dst")).union(l.select("s", "p"))
     return graph.reach(spark.sql("SELECT 'p1' AS id"), edges, 2, urls.matches(F.col("dst"), [], [r"p.*[05]$"]))
 

@@ -33,12 +33,12 @@ def rich_texts(spark, folder):
 
 
 @query(
-    """WITH RECURSIVE n AS (SELECT l_orderkey * 10 + l_linenumber AS id, CASE WHEN l_linenumber > 1 THEN l_orderkey * 10 + l_linenumber // 2 END AS parent, l_returnflag <> 'R' OR l_linenumber = 1 AS live FROM lineitem WHERE l_orderkey % 4 = 0),
+    """WITH RECURSIVE n AS (SELECT l_orderkey * 10 + l_linenumber AS id, CASE WHEN l_linenumber > 1 THEN l_orderkey * 10 + l_linenumber // 2 END AS parent, l_returnflag <> 'R' OR l_linenumber = 1 AS live FROM lineitem),
 r AS (SELECT id, id AS story, 0 AS level FROM n WHERE parent IS NULL UNION ALL SELECT n.id, r.story, level + 1 FROM n JOIN r ON n.parent = r.id WHERE n.live) SELECT story, count(*) - 1 AS n_comments, max(level) AS depth FROM r GROUP BY 1"""
 )
 def comment_trees(spark, folder):
     """Comments below each story at any depth; below a dead comment nothing counts."""
-    rows = table(spark, folder, "lineitem").where("l_orderkey % 4 = 0 and (l_returnflag <> 'R' or l_linenumber = 1)")
+    rows = table(spark, folder, "lineitem").where("l_returnflag <> 'R' or l_linenumber = 1")
     nodes = rows.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.when(F.col("l_linenumber") > 1, F.col("l_orderkey") * 10 + F.floor(F.col("l_linenumber") / 2)).alias("parent"))
     # an orphan is a comment whose parent is dead: it becomes a root and is taken out by its level
     tree = graph.inherited(nodes, "id", "parent", "id")
