@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 from corpusloom.functions.text import SPACE
 
 CORE_LIMIT, SECTION_LIMIT, FIXED_SIZE = 8_192, 16_000, 512
-_STRING_PARTS = "array<struct<t:string,alone:boolean>>"
+#: Fixed value: the characters of SPACE.
+_SPACES = "".join(map(chr, [*range(9, 14), 32, *range(28, 32), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
 def stripped(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
+    """Without white space at either end; the characters are listed, because a pattern would scan the whole text at every step of a fold."""
+    return F.btrim(c, F.lit(_SPACES))
 
 
 def fixed_cuts(c: Column, size: int = FIXED_SIZE) -> Column:
