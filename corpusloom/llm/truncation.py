@@ -12,11 +12,13 @@ line and of the one before, whether the last word is a known one, and how near
 the length is to a limit of the source.
 
 Limits are found in all records: a length (in characters or bytes) around which
-a source has many more texts than its other lengths would give.
+a source has many more texts than its other lengths would give.  Known words are
+those of at least `LEAST_RECORDS` of all records, counted by slots of their hash;
+the last word of a text, which may be cut, doesn't count.
 
 The model is fitted on the driver on a bounded sample: about `TRAIN_ROWS`
 records (a parameter), chosen by a hash of the whole row; executors send only
-feature numbers.  Every record is scored.  Of a text only the last `WINDOW`
+feature numbers, and one count a slot of the vocabulary.  Every record is scored.  Of a text only the last `WINDOW`
 characters leave the JVM, because no feature looks further back; its length is
 that of the whole text.
 
@@ -46,8 +48,9 @@ BITS = 18
 #: Lengths up to so many characters below a limit, and up to three above, are near it.
 NEAR = 12
 EPOCHS, RATE, L2 = 8, 0.15, 1e-6
-VOCABULARY_BITS = 20
+VOCABULARY_BITS, LEAST_RECORDS = 20, 3
 
+_WORD = re.compile(r"[^\W_]+")
 _MARKS = re.compile(r"(?:[\s<\[({*_~`|\\�]|\.{3,}|…|\[\.{3}\]|\[…\]|--+$|&\w*$)+$")
 _FINISHED = re.compile(r"[.!?。！？][\"'”’»)\]]*$")
 _SENTENCE = re.compile(r"(?<=[.!?。！？])[\"'”’»)\]]*\s+|\n+")
@@ -77,6 +80,19 @@ def word_slot(word: str) -> int:
     return xxhash.xxh3_64_intdigest(word) >> (64 - VOCABULARY_BITS)
 
 
+class _Slots(dict):
+    """Slots of words; those of a worker's recent words are kept."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        slot = self[word] = word_slot(word.casefold())
+        return slot
+
+
+_slots = _Slots()
+
+
 def _masked(token: str, first: bool) -> str:
     if token[0].isdigit():
         return "9"
@@ -276,34 +292,50 @@ def _prepared(docs: DataFrame, key: str, text: str, source: str) -> DataFrame:
     return rows.where(F.col("t").rlike(r"\S")).select("k", "t", "source", F.length("t").alias("n_chars"), F.octet_length("t").alias("n_bytes"))
 
 
+def vocabulary(rows: DataFrame) -> np.ndarray:
+    """Which slots of words stand in at least `LEAST_RECORDS` of all records (column t)."""
+
+    def run(batches):
+        counts = np.zeros(1 << VOCABULARY_BITS, np.int64)
+        for rb in batches:
+            own = [{_slots[w] for w in set(_WORD.findall(t)[:-1])} for t in rb.column(0).to_pylist()]
+            counts += np.bincount(np.fromiter((x for o in own for x in o), np.int64), minlength=1 << VOCABULARY_BITS)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["slot", "n"])
+
+    # at most as many rows as there are slots
+    found = rows.select("t").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_RECORDS).select("slot").toArrow()
+    known = np.zeros(1 << VOCABULARY_BITS, bool)
+    known[found.column("slot").to_numpy()] = True
+    return known
+
+
 def train(rows: DataFrame, limit_of: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
-    """The model, fitted on about `train_rows` records chosen by hash."""
+    """The model, fitted on about `train_rows` records chosen by hash; the vocabulary is that of all records."""
     every = max(1, round(rows.count() / train_rows))
     sample = rows.where(F.pmod(F.xxhash64("k", "t"), F.lit(every)) == 0).join(_listed(limit_of), "source", "left")
 
     def run(batches):
         for rb in batches:
-            out: list[list] = [[], [], [], [], [], []]
+            out: list[list] = [[], [], [], [], []]
             for t, n, m, chars, bytes_ in zip(*(rb.column(c).to_pylist() for c in ("t", "n_chars", "n_bytes", "chars", "bytes")), strict=True):
                 seed = xxhash.xxh3_64_intdigest(t.encode("utf-8", "replace"))
                 own = [(t, _near(n, m, chars or (), bytes_ or ()), REAL), *((c, near, CUT) for c, near in artificial(t, seed, list(chars or ()))), *((c, 0, DOTS) for c in trailing_dots(t, seed))]
                 for no, (c, near, kind) in enumerate(own):
                     f, slot = features(c[-WINDOW:], near)
-                    words = sorted({word_slot(w.casefold()) for w in re.findall(r"[^\W_]+", t)[:-1]}) if not no else []
-                    for column, x in zip(out, (seed - (1 << 63), no, kind, f, words, (slot, c[-80:])), strict=True):
+                    for column, x in zip(out, (seed - (1 << 63), no, kind, f, (slot, c[-80:])), strict=True):
                         column.append(x)
-            slots, tails = [x[0] for x in out[5]], [x[1] for x in out[5]]
+            slots, tails = [x[0] for x in out[4]], [x[1] for x in out[4]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.list_(pa.int32())), pa.array(out[4], pa.list_(pa.int32())), pa.array(slots, pa.int32()), pa.array([x.encode("utf-8", "replace").decode() for x in tails])],
-                names=["seed", "no", "kind", "f", "words", "slot", "tail"],
+                [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.list_(pa.int32())), pa.array(slots, pa.int32()), pa.array([x.encode("utf-8", "replace").decode() for x in tails])],
+                names=["seed", "no", "kind", "f", "slot", "tail"],
             )
 
     # about train_rows records, a handful of rows each: bounded by the parameter
-    found = sample.mapInArrow(run, "seed long, no int, kind int, f array<int>, words array<int>, slot int, tail string").toArrow()
+    found = sample.mapInArrow(run, "seed long, no int, kind int, f array<int>, slot int, tail string").toArrow()
     order = sorted(zip(*(found.column(c).to_pylist() for c in ("seed", "no")), range(found.num_rows), strict=True))
-    kinds, f, words, slots, tails = (found.column(c).to_pylist() for c in ("kind", "f", "words", "slot", "tail"))
-    flat = np.array([w for x in words for w in x or ()], np.int64)
-    known = np.bincount(flat, minlength=1 << VOCABULARY_BITS) >= 3
+    kinds, f, slots, tails = (found.column(c).to_pylist() for c in ("kind", "f", "slot", "tail"))
+    known = vocabulary(rows)
     examples = [(f[i] + unknown_features(tails[i], slots[i], known), kinds[i]) for _, _, i in order]
     return Model(fit_cleaned(examples)[0], known)
 

@@ -41,3 +41,11 @@ def test_model_is_the_same_each_time(spark, folder):
     one, two = ({(r.doc_id, round(r.score, 9)) for r in scored(d, "doc_id", "text", "source").collect()} for d in (df, df.repartition(5)))
     assert one == two
     assert truncation.TRAIN_ROWS > 0
+
+
+def test_vocabulary_is_that_of_all_records(spark):
+    """Words of three records are known whether or not those are among the training records."""
+    texts = [(i, f"A sentence about a thing that is called wort{i // 3}x here. Another sentence ends well with word number {i}.", "s") for i in range(600)]
+    rows = truncation._prepared(spark.createDataFrame([*texts, (600, "Only one record names the einmalig word here.", "s")], "id long, text string, source string"), "id", "text", "source")
+    known = truncation.train(rows, limits(rows), 20).known
+    assert all(known[truncation.word_slot(f"wort{k}x")] for k in range(200)) and not known[truncation.word_slot("einmalig")]
