@@ -9,9 +9,9 @@ _ZONES = {"GMT": "+0000", "UTC": "+0000", "UT": "+0000", "Z": "+0000", "EST": "-
 
 
 def parse_instant(c: Column) -> Column:
-    """Epoch seconds, ISO 8601 or RFC 822 to microseconds since 1970; a bare year is null."""
+    """Epoch seconds, ISO 8601 or RFC 822 to microseconds since 1970; a bare year is null, and so are numbers out of range."""
     v = F.trim(c)
-    epoch = F.when(v.rlike(r"^\d{5,}(\.\d+)?\z"), F.round(v.try_cast("double") * 1_000_000).cast("long"))
+    epoch = F.when(v.rlike(r"^\d{5,}(\.\d+)?\z"), F.round(v.try_cast("double") * 1_000_000).try_cast("long"))
     iso = F.when(v.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.]\d{1,9})?)?\s*(Z|z|[+-]\d{2}:?\d{2})?)?\z"), F.unix_micros(F.regexp_replace(F.upper(v), r"([+-]\d{2})(\d{2})$", "$1:$2").try_cast("timestamp")))
     zone = F.regexp_extract(v, r"([A-Za-z]+)$", 1)
     numeric = F.lit(None).cast("string")

@@ -65,8 +65,18 @@ def discovered_sitemaps(spark, folder):
 @query("SELECT 'https://' || site || '/' || doc_id AS loc, min(updated_at) AS lastmod FROM (SELECT site, doc_id, updated_at FROM documents WHERE site IS NOT NULL AND regexp_matches(updated_at, '^\\d{4}-\\d{2}-\\d{2}$')) GROUP BY 1")
 def sitemap_walk(spark, folder):
     """Sitemaps of each site, made of its documents, read back as (loc, lastmod)."""
-    docs = table(spark, folder, "documents").where(F.col("site").isNotNull() & F.col("updated_at").rlike(r"^\d{4}-\d{2}-\d{2}\z"))
-    entry = F.concat(F.lit("<url><loc> https://"), "site", F.lit("/"), F.col("doc_id").cast("string"), F.lit("</loc>\n<lastmod>"), "updated_at", F.lit("</lastmod></url>"))
+    return _walked(table(spark, folder, "documents").where(F.col("site").isNotNull() & F.col("updated_at").rlike(r"^\d{4}-\d{2}-\d{2}\z")))
+
+
+@query()
+def all_sitemap_walk(spark, folder):
+    """The same of every document of a site, whatever the spelling of its date, also without one."""
+    return _walked(table(spark, folder, "documents").where(F.col("site").isNotNull()))
+
+
+def _walked(docs):
+    lastmod = F.coalesce(F.concat(F.lit("<lastmod>"), "updated_at", F.lit("</lastmod>")), F.lit(""))
+    entry = F.concat(F.lit("<url><loc> https://"), "site", F.lit("/"), F.col("doc_id").cast("string"), F.lit("</loc>\n"), lastmod, F.lit("</url>"))
     maps = docs.groupBy("site", F.pmod("doc_id", F.lit(64))).agg(F.concat(F.lit("<urlset>"), F.array_join(F.collect_list(entry), ""), F.lit("</urlset>")).alias("xml"))
     return maps.select(F.explode(html.sitemap_entries(F.col("xml"))).alias("e")).groupBy("e.loc").agg(F.min("e.lastmod").alias("lastmod"))
 

@@ -112,6 +112,13 @@ def skipped_before_fetch(spark, folder):
     return rows.where(readable).select("entry_id", skipped.alias("skipped"))
 
 
+@query()
+def all_skipped_before_fetch(spark, folder):
+    """The same of every entry, whatever the spelling of its date; unreadable ones are fetched."""
+    skipped = incremental.unchanged_before_fetch(F.col("config_sig"), "8871c275b1e6b365", F.col("sitemap_lastmod"), F.lit("2020-06-01"))
+    return table(spark, folder, "manifest").select("entry_id", skipped.alias("skipped"))
+
+
 SQL["skipped_before_fetch"] += " AND (sitemap_lastmod IS NULL OR TRY_CAST(sitemap_lastmod AS DATE) IS NOT NULL)"
 SQL["skipped_before_fetch"] = SQL["skipped_before_fetch"].replace("WHERE sitemap_lastmod IS NULL OR regexp_matches(sitemap_lastmod, '^\\d{4}-\\d{2}-\\d{2}$')", "WHERE (sitemap_lastmod IS NULL OR regexp_matches(sitemap_lastmod, '^\\d{4}-\\d{2}-\\d{2}$'))")
 
@@ -147,6 +154,14 @@ def modified_documents(spark, folder):
     return incremental.modified_within(rows, indexed, "last_updated", "2021-01-01 00:00:00").distinct()
 
 
+@query()
+def all_modified_documents(spark, folder):
+    """The same of every entry whose date can be read, whatever its spelling."""
+    rows = table(spark, folder, "manifest").where(F.col("doc_id").isNotNull())
+    indexed = table(spark, folder, "tracker_log").where("status = 'indexed' and doc_id is not null")
+    return incremental.modified_within(rows, indexed, "last_updated", "2021-01-01 00:00:00").distinct()
+
+
 @query("SELECT crawler_type, source, CASE WHEN crawler_type = 'docs' THEN 'portal' WHEN crawler_type = 's3' THEN 'S3' ELSE crawler_type END AS tag FROM sources")
 def source_tags(spark, folder):
     tag = incremental.source_tag(F.lit(""), F.col("crawler_type"), F.lit("portal"))
@@ -367,6 +382,12 @@ def kept_by_date(spark, folder):
     return rows.select("entry_id", dates.in_range(F.col("last_updated"), "2019-01-01", "2021-12-31").alias("kept"))
 
 
+@query()
+def all_kept_by_date(spark, folder):
+    """The same of every entry, whatever the spelling of its date."""
+    return table(spark, folder, "manifest").select("entry_id", dates.in_range(F.col("last_updated"), "2019-01-01", "2021-12-31").alias("kept"))
+
+
 @query("SELECT doc_id, seq, (row_number() OVER (PARTITION BY doc_id ORDER BY seq))::BIGINT AS n FROM (SELECT DISTINCT doc_id, seq FROM tracker_log WHERE doc_id IS NOT NULL)")
 def numbered_states(spark, folder):
     rows = table(spark, folder, "tracker_log").where("doc_id is not null").select("doc_id", "seq").distinct()

@@ -174,6 +174,12 @@ def parsed_instants(spark, folder):
     return rows.select("entry_id", dates.parse_instant(v).alias("us"))
 
 
+@query()
+def all_parsed_instants(spark, folder):
+    """The same of every entry with a date, null where it can't be read."""
+    return table(spark, folder, "manifest").where("sitemap_lastmod is not null").select("entry_id", dates.parse_instant(F.col("sitemap_lastmod")).alias("us"))
+
+
 _NEWER = "('2024-02-01','2024-01-01'), ('2024-01-01','2024-01-01'), ('2023-01-01','2024-01-01'), ('Thu, 01 Feb 2024 00:00:00 GMT','Mon, 01 Jan 2024 00:00:00 GMT'), ('2000000000','1000000000'), ('1000000000','2000000000'), (CAST(NULL AS STRING),'2024-01-01'), ('garbage','2024-01-01'), ('2024-01-02T00:00:00Z','2024-01-01')"
 
 
