@@ -36,10 +36,10 @@ def matched_by_containment(left: DataFrame, right: DataFrame, block: str, a: str
     return both.groupBy(block, a).agg(F.min(rank)["b"].alias(b))
 
 
-def merged_permissions(own: DataFrame, inherited: DataFrame, keys: list[str]) -> DataFrame:
-    """Permissions by type and id; inherited ones win."""
+def merged_permissions(own: DataFrame, inherited: DataFrame, keys: list[str], position: str) -> DataFrame:
+    """Permissions by type and id; inherited ones win, then the first by position."""
     all_ = own.withColumn("_rank", F.lit(1)).unionByName(inherited.withColumn("_rank", F.lit(0)))
-    return first_of(all_, keys, "_rank").drop("_rank")
+    return first_of(all_.withColumn("_rank", F.struct("_rank", position)), keys, "_rank").drop("_rank")
 
 
 def substituted(df: DataFrame, key: str, text: str, names: DataFrame, pattern: str, template: str = "@{}") -> DataFrame:

@@ -49,6 +49,14 @@ def manifest_by_id(spark, folder):
     return held.join(listed.where("source = 'site-handbook'").groupBy(F.col("doc_id").alias("key")).agg(F.max("entry_id").alias("entry_id")), "key").select("key", "entry_id", F.coalesce("content_hash", F.lit("")).alias("content_hash"))
 
 
+@query()
+def all_manifest_by_id(spark, folder):
+    """The same of every source; an id counts within its source."""
+    listed = table(spark, folder, "manifest").where("doc_id is not null and doc_id <> ''")
+    last = listed.groupBy("source", F.col("doc_id").alias("key")).agg(F.max_by(F.struct("entry_id", "content_hash"), "entry_id").alias("e"))
+    return last.select("source", "key", "e.entry_id", F.coalesce("e.content_hash", F.lit("")).alias("content_hash"))
+
+
 @query("SELECT url_decode(replace(url, '+', '%2B')) AS key, max_by(doc_id, entry_id) AS doc_id FROM manifest WHERE coalesce(url, '') <> '' GROUP BY 1")
 def manifest_by_url(spark, folder):
     return incremental.manifest(table(spark, folder, "manifest"), "entry_id", "url").select("key", "doc_id")
@@ -267,7 +275,7 @@ def _permissions(spark, folder):
     kind = "struct<id:string,type:string,role:string,emailAddress:string,domain:string,deleted:boolean>"
     raw = F.get_json_object("payload", "$.metadata.permissions")
     rows = table(spark, folder, "raw_records").select("rec_id", F.ltrim("payload", F.lit("\ufeff")).alias("payload")).where(F.try_parse_json("payload").isNotNull() & raw.startswith("["))
-    return rows.select("rec_id", F.explode(F.from_json(raw, "array<string>")).alias("e")).where("e like '{%'").select("rec_id", F.from_json("e", kind).alias("p")).select("rec_id", "p.id", "p.type", "p.role", F.col("p.emailAddress").alias("email"), "p.domain", "p.deleted")
+    return rows.select("rec_id", F.posexplode(F.from_json(raw, "array<string>")).alias("pos", "e")).where("e like '{%'").select("rec_id", "pos", F.from_json("e", kind).alias("p")).select("rec_id", "pos", "p.id", "p.type", "p.role", F.col("p.emailAddress").alias("email"), "p.domain", "p.deleted")
 
 
 @query(
@@ -284,11 +292,9 @@ def access_lists(spark, folder):
 SELECT rec_id, type, id, max(role) FILTER (r = m) AS role FROM (SELECT *, min(r) OVER (PARTITION BY rec_id, type, id) AS m FROM (SELECT *, 0 AS r FROM i UNION ALL SELECT *, 1 AS r FROM o)) GROUP BY 1, 2, 3 HAVING count(*) FILTER (r = m) = 1"""
 )
 def merged_permissions(spark, folder):
-    own = _permissions(spark, folder).where("id is not null").select("rec_id", "type", "id", "role")
-    inherited = own.where("type = 'domain'").select("rec_id", "type", "id", F.lit("inherited").alias("role")).distinct()
-    out = relational.merged_permissions(own, inherited, ["rec_id", "type", "id"])
-    twice = own.where("type <> 'domain'").groupBy("rec_id", "type", "id").agg(F.count("*").alias("n")).where("n > 1")
-    return out.join(twice, ["rec_id", "type", "id"], "left_anti")
+    own = _permissions(spark, folder).where("id is not null").select("rec_id", "type", "id", "role", "pos")
+    inherited = own.where("type = 'domain'").select("rec_id", "type", "id", F.lit("inherited").alias("role"), F.lit(0).alias("pos")).distinct()
+    return relational.merged_permissions(own, inherited, ["rec_id", "type", "id"], "pos").drop("pos")
 
 
 @query(

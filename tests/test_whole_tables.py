@@ -35,3 +35,15 @@ def test_every_spelling_is_looked_at(spark, made):
     # listed on 2020-06-01: skipped where what is stored is no older
     assert rows(spark, made, "all_skipped_before_fetch") == {(i, bool(us and us > DAY + 152 * 86_400_000_000)) for i, us in known.items()}
     assert rows(spark, made, "all_sitemap_walk") == {(f"https://a.example/{i}", d) for i, (d, _) in DATES.items()}
+
+
+def test_a_permission_listed_twice_stays_once(spark, tmp_path):
+    payload = '{"metadata": {"permissions": [{"id": "p", "type": "user", "role": "reader"}, {"id": "p", "type": "user", "role": "owner"}, {"id": "q", "type": "domain", "role": "reader"}]}}'
+    spark.createDataFrame([(1, payload)], "rec_id long, payload string").write.parquet(f"file://{tmp_path}/raw_records.parquet")
+    assert rows(spark, f"file://{tmp_path}", "merged_permissions") == {(1, "user", "p", "reader"), (1, "domain", "q", "inherited")}
+
+
+def test_manifest_of_every_source(spark, tmp_path):
+    listed = [(1, "a", "h1", "s"), (2, "a", "h2", "t"), (3, "a", None, "s"), (4, "", "h", "s"), (5, None, "h", "s")]
+    spark.createDataFrame(listed, "entry_id long, doc_id string, content_hash string, source string").write.parquet(f"file://{tmp_path}/manifest.parquet")
+    assert rows(spark, f"file://{tmp_path}", "all_manifest_by_id") == {("s", "a", 3, ""), ("t", "a", 2, "h2")}
