@@ -28,7 +28,7 @@ def reach(seeds: DataFrame, edges: DataFrame, depth: int, follow: Column | None
     return found
 
 
-def inherited(nodes: DataFrame, key: str, parent: str, own: str, most: int = 100) -> DataFrame:
+def inherited(nodes: DataFrame, key: str, parent: str, own: str) -> DataFrame:
     """Each node with its path from the root and the values of `own` along it, joined by '/'. Orphans are roots.
 
     One join a level of the tree; nodes on a cycle are never reached and don't come out.
@@ -36,12 +36,12 @@ def inherited(nodes: DataFrame, key: str, parent: str, own: str, most: int = 100
     keys = nodes.select(F.col(key).alias(parent)).distinct()
     roots = nodes.join(keys, parent, "left_anti")
     level = cut_lineage(roots.select(key, F.col(key).cast("string").alias("path"), F.coalesce(F.col(own).cast("string"), F.lit("")).alias("values"), F.lit(0).alias("level")))
-    out = level
-    for n in range(1, most):
+    out, n = level, 0
+    while True:
+        n += 1
         up = level.select(F.col(key).alias(parent), F.col("path").alias("_p"), F.col("values").alias("_v"))
         level = nodes.join(up, parent).select(key, F.concat_ws("/", "_p", F.col(key).cast("string")).alias("path"), F.concat_ws("/", "_v", F.coalesce(F.col(own).cast("string"), F.lit(""))).alias("values"), F.lit(n).alias("level"))
         level = cut_lineage(level)
         if level.isEmpty():
-            break
+            return out
         out = out.unionByName(level)
-    return out
