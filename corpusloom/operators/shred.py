@@ -1,61 +1,167 @@
 """Deeply nested JSON records to flat tables, by columnar shredding.
 
-A batch of records is stored column by column.  Each leaf path keeps one entry
-per place where its value stands or could stand, with two small numbers: the
-repetition level (the innermost repeated ancestor at which the entry starts
-anew) and the definition level (how many steps of the path are there).  Every
-array slot also has a presence column with the same levels, which says where
-the slot holds an object.  The tables are rebuilt from those level sequences
-alone: one table per repeated ancestor, array positions by counting entries
-per level, parents by cutting the path at the next level that is an object.
+A batch of records is stored column by column.  Each path keeps one entry per
+place where its value stands, with two small numbers: the repetition level (the
+innermost repeated ancestor at which the entry starts anew) and the definition
+level (how many steps of the path are there).  Absences are not written one by
+one: an entry says at which entry of its parent it stands, and what lies between
+two of them is filled in from the parent's levels when the column is read.  So a
+record costs what it holds, not what other records hold.  The tables are rebuilt
+from the level sequences: one table per repeated ancestor, array positions by
+counting entries per level, parents by cutting the path at the next level that
+is an object.
+
+Which keys are repeated is learnt: a key that is an array anywhere in the data
+is one everywhere, so a lone object or a string with an array counts as that
+array there.  That is one aggregate pass over the payloads (`array_keys`); what
+reaches the driver is the distinct names of such keys, a part of the schema.
 
 Records are handled one by one, so nothing is shuffled and a hot source is no
-hot group.  Column pruning: without `leaves` only presence columns are kept.
+hot group.  Column pruning: without `leaves` only array slots keep columns.
+Nothing here recurses: payloads may be nested to any depth.
 
 Defined results: a null, empty, unreadable or non-object payload gives no rows;
 a repeated delivery gives its rows again under its own id; null elements and
 other non-objects take a position but give no row; an empty object gives a row;
-of a key that an object has twice the last counts; nesting of 300 levels
-or more (100 in a string) is unreadable.  Extra columns of the input are not read.
+of a key that an object has twice the last counts.  Extra columns of the input
+are not read.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterable, Iterator
+from json.decoder import scanstring
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Keys whose value is an array in this data model; a lone object or a string with an array counts as one there.
-REPEATED = frozenset("sections tables document_parts images permissions revisions changes attachments checks annotations spans labels".split())
-#: An object under this key of an element of that array stays one opaque leaf.
+#: What lies under this key of an object at that place stays one opaque leaf.
 OPAQUE = {"tables": "data"}
 ENVELOPES = ("document",)
+#: More names of repeated keys than this aren't a schema; that is an error, nothing is left out.
+MOST_KEYS = 1_000_000
 
-_BITS = 12
+_BITS = 32
+_SPACE = re.compile(r"[ \t\n\r]*")
+_NUMBER = re.compile(r"-?(?:0|[1-9]\d*)(\.\d+)?([eE][-+]?\d+)?")
+_NAMES = {"true": True, "false": False, "null": None, "NaN": float("nan"), "Infinity": float("inf"), "-Infinity": float("-inf")}
 
 
-class _Column:
-    __slots__ = ("levels", "name", "values")
+def parsed(text: str):
+    """json.loads, also for texts that are nested deeper than recursion goes."""
+    try:
+        return json.loads(text)
+    except RecursionError:
+        return _parsed_by_loop(text)
+
+
+def _parsed_by_loop(text: str):
+    at, n = 0, len(text)
+    root: list = []
+    open_: list = [root]
+    keys: list = [None]
+    # what may come next: a value, a key, a comma or an end
+    state = "value"
+    while True:
+        at = _SPACE.match(text, at).end()
+        top = open_[-1]
+        if top is root and state == "next":
+            if at != n:
+                raise ValueError("more than one value")
+            return root[0]
+        c = text[at : at + 1]
+        if state in ("key", "key or end"):
+            if c == "}" and state == "key or end":
+                open_.pop(), keys.pop()
+                at, state = at + 1, "next"
+                continue
+            if c != '"':
+                raise ValueError("a key was expected")
+            keys[-1], at = scanstring(text, at + 1, True)
+            at = _SPACE.match(text, at).end()
+            if text[at : at + 1] != ":":
+                raise ValueError("a colon was expected")
+            at, state = at + 1, "value"
+            continue
+        if state == "next":
+            if c == ",":
+                at, state = at + 1, "key" if type(top) is dict else "value"
+            elif c == ("}" if type(top) is dict else "]"):
+                open_.pop(), keys.pop()
+                at += 1
+            else:
+                raise ValueError("a comma or an end was expected")
+            continue
+        if c == "]" and state == "value or end":
+            open_.pop(), keys.pop()
+            at, state = at + 1, "next"
+            continue
+        inside = None
+        if c == "{" or c == "[":
+            value = inside = {} if c == "{" else []
+            at += 1
+        elif c == '"':
+            value, at = scanstring(text, at + 1, True)
+        elif m := _NUMBER.match(text, at):
+            value, at = (float(m[0]) if m[1] or m[2] else int(m[0])), m.end()
+        else:
+            name = next((x for x in _NAMES if text.startswith(x, at)), None)
+            if name is None:
+                raise ValueError("a value was expected")
+            value, at = _NAMES[name], at + len(name)
+        if type(top) is dict:
+            top[keys[-1]] = value
+        else:
+            top.append(value)
+        if inside is not None:
+            open_.append(inside), keys.append(None)
+        state = "next" if inside is None else "key or end" if c == "{" else "value or end"
 
-    def __init__(self, name: str = "", values: bool = False):
-        self.name, self.levels, self.values = name, [], [] if values else None
+
+def dumped(value) -> str:
+    """json.dumps of a value that may be nested deeper than recursion goes."""
+    try:
+        return json.dumps(value, ensure_ascii=False)
+    except RecursionError:
+        pass
+    out: list[str] = []
+    todo: list = [value]
+    while todo:
+        x = todo.pop()
+        if type(x) is tuple:
+            out.append(x[0])
+        elif type(x) is dict or type(x) is list:
+            parts: list = [("{" if type(x) is dict else "[",)]
+            for i, y in enumerate(x.items() if type(x) is dict else x):
+                if i:
+                    parts.append((", ",))
+                if type(x) is dict:
+                    parts.append((json.dumps(y[0], ensure_ascii=False) + ": ",))
+                parts.append(y[1] if type(x) is dict else y)
+            todo += reversed([*parts, ("}" if type(x) is dict else "]",)])
+        else:
+            out.append(json.dumps(x, ensure_ascii=False))
+    return "".join(out)
 
 
 class _Slot:
-    """A place for a value: what objects, arrays and scalars have been seen there."""
+    """A place for a value: the levels of its entries, and at which entries of the parent they stand."""
 
-    __slots__ = ("columns", "depth", "item", "key", "keys", "level", "opaque", "parent", "presence", "scalar")
+    __slots__ = ("at", "depth", "item", "key", "keys", "level", "levels", "opaque", "parent", "scalar_at", "scalars", "sizes")
 
     def __init__(self, parent: _Slot | None, key: str | None, opaque: str | None = None):
-        self.parent, self.key, self.keys, self.item, self.scalar, self.presence = parent, key, {}, None, None, None
+        self.parent, self.key, self.keys, self.item, self.opaque = parent, key, {}, None, opaque
         self.level = 0 if parent is None else parent.level + (key is None)
         self.depth = 0 if parent is None else parent.depth + 1
-        self.opaque = opaque
-        self.columns: list[_Column] = []
+        self.levels: list[int] = []
+        self.at: list[int] = []
+        self.sizes: list[int] = []
+        self.scalar_at: list[int] = []
+        self.scalars: list = []
 
 
 def readable(payload: str | None, envelopes: Iterable[str] = ENVELOPES) -> dict | None:
@@ -63,25 +169,48 @@ def readable(payload: str | None, envelopes: Iterable[str] = ENVELOPES) -> dict
     if not payload:
         return None
     try:
-        doc = json.loads(payload.lstrip("﻿"))
-    except (ValueError, RecursionError):
+        doc = parsed(payload.lstrip("﻿"))
+    except ValueError:
         return None
     while isinstance(doc, dict) and len(doc) == 1 and (inner := next(iter(doc))) in envelopes and isinstance(doc[inner], dict):
         doc = doc[inner]
     return doc if isinstance(doc, dict) else None
 
 
-def _shallow(doc: dict, limit: int = 300) -> bool:
-    """Whether the text is nested less than `limit` deep, arrays in strings included once they are read; no recursion here."""
-    layer, depth = [doc], 0
-    while layer and depth < limit:
-        nested = []
-        for x in layer:
-            for y in x.values() if type(x) is dict else x:
-                if type(y) is dict or type(y) is list:
-                    nested.append(y)
-        layer, depth = nested, depth + 1
-    return not layer
+def keys_of_arrays(doc: dict, found: set[str]) -> None:
+    """Adds the keys whose value is an array in the document; what is opaque isn't looked into."""
+    todo: list = [(doc, None)]
+    while todo:
+        value, opaque = todo.pop()
+        if type(value) is dict:
+            for key, x in value.items():
+                if key != opaque:
+                    if type(x) is list:
+                        found.add(key)
+                    if type(x) is list or type(x) is dict:
+                        todo.append((x, OPAQUE.get(key)))
+        else:
+            todo += [(x, opaque) for x in value if type(x) is dict or type(x) is list]
+
+
+def array_keys(df: DataFrame, payload: str = "payload") -> frozenset[str]:
+    """The keys that are an array anywhere in the readable payloads: one pass, distinct names only."""
+
+    def run(batches):
+        told: set[str] = set()
+        for batch in batches:
+            found: set[str] = set()
+            for text in batch.column(0).to_pylist():
+                if (doc := readable(text)) is not None:
+                    keys_of_arrays(doc, found)
+            new = sorted(_text(k) for k in found - told)
+            told |= found
+            yield pa.RecordBatch.from_arrays([pa.array(new, pa.string())], names=["key"])
+
+    names = df.select(F.col(f"`{payload}`").cast("string").alias("p")).where(F.contains("p", F.lit("["))).mapInArrow(run, "key string").distinct().limit(MOST_KEYS + 1).toArrow().column(0).to_pylist()
+    if len(names) > MOST_KEYS:
+        raise ValueError(f"more than {MOST_KEYS} names of repeated keys: the payloads' keys are data")
+    return frozenset(names)
 
 
 def _as_array(value, key: str, repeated: frozenset):
@@ -91,96 +220,81 @@ def _as_array(value, key: str, repeated: frozenset):
             return [value]
         if type(value) is str and value.lstrip()[:1] == "[":
             try:
-                inner = json.loads(value)
-            except (ValueError, RecursionError):
+                inner = parsed(value)
+            except ValueError:
                 return value
-            return inner if type(inner) is list and _shallow({key: inner}, 100) else value
+            return inner if type(inner) is list else value
     return value
 
 
-def _learn(slot: _Slot, value, leaves: bool, repeated: frozenset) -> None:
-    """Puts arrays in their places, in `value` itself, and adds what is new to the schema."""
-    if type(value) is dict:
-        opaque = slot.opaque
-        for key, x in value.items():
-            kind = type(x)
-            if key == opaque:
-                if leaves and x is not None:
-                    value[key] = x = x if kind is str else json.dumps(x, ensure_ascii=False)
+def _store(root: _Slot, doc: dict, leaves: bool, repeated: frozenset) -> None:
+    """Appends the entries of a document.
+
+    A level is repetition level and definition level in one number. A value that is there adds two to the definition level of
+    what encloses it, an object one more, so that an absent child, which takes its parent's level, has a smaller one.
+    """
+    todo = [(root, doc, len(root.levels), 0)]
+    root.levels.append(1)
+    while todo:
+        slot, value, entry, level = todo.pop()
+        # entry: the number of the value's entry in the slot's whole sequence; level: that of the entry
+        if type(value) is dict:
+            opaque = slot.opaque
+            for key, x in value.items():
+                kind = type(x)
+                if key == opaque:
+                    if not leaves or x is None:
+                        continue
+                    x = x if kind is str else dumped(x)
                     kind = str
-                else:
-                    continue
-            elif kind is dict or kind is str:
-                y = _as_array(x, key, repeated)
-                if y is not x:
-                    value[key] = x = y
-                    kind = list
-            if kind is dict or kind is list or (leaves and x is not None):
-                child = slot.keys.get(key)
-                if child is None:
-                    child = slot.keys[key] = _Slot(slot, key)
-                if kind is dict or kind is list:
-                    _learn(child, x, leaves, repeated)
-                elif child.scalar is None:
-                    child.scalar = _Column(values=True)
-    elif type(value) is list:
-        for x in value:
-            kind = type(x)
-            if kind is dict or kind is list or (leaves and x is not None):
-                if slot.item is None:
-                    slot.item = _Slot(slot, None, OPAQUE.get(slot.key))
+                elif kind is dict or kind is str:
+                    x = _as_array(x, key, repeated)
+                    kind = type(x)
+                if kind is dict or kind is list or (leaves and x is not None):
+                    child = slot.keys.get(key)
+                    if child is None:
+                        child = slot.keys[key] = _Slot(slot, key, OPAQUE.get(key))
+                    own = (level >> _BITS << _BITS) | (2 * child.depth + (kind is dict))
+                    child.at.append(entry)
+                    child.levels.append(own)
+                    if kind is dict or kind is list:
+                        todo.append((child, x, entry, own))
+                    else:
+                        child.scalar_at.append(entry)
+                        child.scalars.append(x)
+        elif value:
+            item = slot.item
+            if item is None:
+                item = slot.item = _Slot(slot, None, slot.opaque)
+            first = len(item.levels) + entry - len(item.at)
+            item.at.append(entry)
+            item.sizes.append(len(value))
+            there, again = 2 * item.depth, item.level << _BITS
+            below = []
+            for i, x in enumerate(value):
+                kind = type(x)
+                own = (again if i else level >> _BITS << _BITS) | (there + (kind is dict) if x is not None else there - 1)
+                item.levels.append(own)
                 if kind is dict or kind is list:
-                    _learn(slot.item, x, leaves, repeated)
-                elif slot.item.scalar is None:
-                    slot.item.scalar = _Column(values=True)
-
-
-def _settle(slot: _Slot) -> list[_Column]:
-    """Gives every array slot its presence column and every slot the list of columns below it."""
-    if slot.key is None and slot.parent is not None:
-        slot.presence = _Column()
-    slot.columns = [c for c in (slot.presence, slot.scalar) if c is not None]
-    for child in [*slot.keys.values(), *([slot.item] if slot.item else [])]:
-        slot.columns = slot.columns + _settle(child)
-    return slot.columns
-
-
-def _absent(columns: list[_Column], level: int) -> None:
-    for c in columns:
-        c.levels.append(level)
-        if c.values is not None:
-            c.values.append(None)
-
-
-def _store(slot: _Slot, value, rep: int, level: int) -> None:
-    """Appends the entries of a value. level: repetition level and definition level in one number."""
-    if value is None:
-        return _absent(slot.columns, level)
-    kind = type(value)
-    if slot.presence is not None:
-        slot.presence.levels.append(level + (2 if kind is dict else 1))
-    if slot.scalar is not None:
-        if kind is dict or kind is list:
-            _absent([slot.scalar], level)
-        else:
-            slot.scalar.levels.append(level + 1)
-            slot.scalar.values.append(value)
-    if slot.keys:
-        if kind is dict:
-            for key, child in slot.keys.items():
-                _store(child, value.get(key), rep, level + 1)
-        else:
-            for child in slot.keys.values():
-                _absent(child.columns, level)
-    if slot.item is not None:
-        if kind is list and value:
-            _store(slot.item, value[0], rep, level + 1)
-            again = (slot.item.level << _BITS) | ((level + 1) & ((1 << _BITS) - 1))
-            for x in value[1:]:
-                _store(slot.item, x, slot.item.level, again)
-        else:
-            _absent(slot.item.columns, level)
-    return None
+                    below.append((item, x, first + i, own))
+                elif leaves and x is not None:
+                    item.scalar_at.append(first + i)
+                    item.scalars.append(x)
+            todo += reversed(below)
+
+
+def _expanded(parent: np.ndarray, slot: _Slot) -> np.ndarray:
+    """The slot's whole sequence of levels up to its last entry: its own entries, the parent's levels where it is absent."""
+    end = slot.at[-1] + 1
+    at = np.asarray(slot.at)
+    times = np.ones(end, np.int64)
+    own = np.zeros(end, bool)
+    own[at] = True
+    if slot.key is None:
+        times[at] = slot.sizes
+    out = np.repeat(parent[:end], times)
+    out[np.repeat(own, times)] = slot.levels
+    return out
 
 
 def _positions(rep: np.ndarray, levels: int) -> list[np.ndarray]:
@@ -208,52 +322,57 @@ def _template(steps: list[tuple[str | None, _Slot]]) -> str:
     return text
 
 
-def _slots(slot: _Slot) -> Iterator[_Slot]:
-    yield slot
-    for child in [*slot.keys.values(), *([slot.item] if slot.item else [])]:
-        yield from _slots(child)
+def _leaf_columns(slot: _Slot) -> Iterator[tuple[str, _Slot]]:
+    """(path, slot) of the scalars that stand once in each value of the slot. Their entries are numbered like its own."""
+    todo = [("", slot)]
+    while todo:
+        path, s = todo.pop()
+        if s.scalars:
+            yield path or "value", s
+        todo += [((path + "." if path else "") + k, c) for k, c in reversed(s.keys.items())]
 
 
-def shred_batch(docs: list[dict], leaves: bool, repeated: frozenset = REPEATED):
+def _fields(slot: _Slot, entries: np.ndarray) -> list[list[tuple[str, object]]]:
+    """The leaves of each of the slot's values, whose entries are given in order."""
+    fields: list[list] = [[] for _ in range(len(entries))]
+    for path, s in _leaf_columns(slot):
+        for i, x in zip(np.searchsorted(entries, s.scalar_at).tolist(), s.scalars, strict=True):
+            fields[i].append((path, x))
+    return fields
+
+
+def shred_batch(docs: list[dict], leaves: bool, repeated: frozenset):
     """(record index, path, parent path, table name, fields or None) of all rows of a batch of documents."""
     root = _Slot(None, None)
     for doc in docs:
-        _learn(root, doc, leaves, repeated)
-    _settle(root)
-    for doc in docs:
-        _store(root, doc, 0, 0)
-    mask = (1 << _BITS) - 1
-    for slot in _slots(root):
-        if slot.presence is None:
+        _store(root, doc, leaves, repeated)
+    todo = [(root, np.asarray(root.levels, np.int64))]
+    while todo:
+        slot, levels = todo.pop()
+        for child in (*slot.keys.values(), slot.item):
+            if child is not None and (child.item is not None or child.keys or child.key is None):
+                todo.append((child, _expanded(levels, child)))
+        if slot.key is not None or slot is root:
             continue
-        packed = np.asarray(slot.presence.levels, dtype=np.int64)
-        rep, there = packed >> _BITS, (packed & mask) == slot.depth + 2
-        scalars = [s for s in _slots(slot) if s.scalar is not None and s.level == slot.level and s is not slot] if leaves else []
-        if leaves and slot.scalar is not None:
-            there = there | np.fromiter((x is not None for x in slot.scalar.values), bool, len(packed))
-            scalars.insert(0, slot)
+        rep = levels >> _BITS
+        there = (levels & ((1 << _BITS) - 1)) == 2 * slot.depth + 1
+        if leaves and slot.scalars:
+            there[slot.scalar_at] = True
         at = np.flatnonzero(there)
         if not at.size:
             continue
         record = (np.cumsum(rep == 0) - 1)[at].tolist()
         places = [p[at].tolist() for p in _positions(rep, slot.level)]
         steps = _path(slot)
-        own = _template(steps)
         # the parent is the innermost enclosing array slot from which the path goes on by a key
         cut = next((i for i in range(len(steps) - 1, 0, -1) if steps[i - 1][0] is None and steps[i][0] is not None), 0)
-        above = _template(steps[:cut])
         n_above = sum(k is None for k, _ in steps[:cut])
         name = ".".join(k for k, _ in steps if k is not None)
-        paths = list(map(own.format, *places))
-        parents = list(map(above.format, *places[:n_above])) if n_above else [""] * len(paths)
-        fields = None
-        if leaves:
-            mine = [(".".join(k for k, _ in _path(s)[len(steps) :] if k is not None) or "value", s.scalar.values) for s in scalars]
-            fields = [[(k, x) for k, v in mine if (x := v[i]) is not None] for i in at.tolist()]
-        yield record, paths, parents, name, fields
+        paths = list(map(_template(steps).format, *places))
+        parents = list(map(_template(steps[:cut]).format, *places[:n_above])) if n_above else [""] * len(paths)
+        yield record, paths, parents, name, _fields(slot, at) if leaves else None
     if leaves:
-        mine = [(".".join(k for k, _ in _path(s)), s.scalar.values) for s in _slots(root) if s.scalar is not None and s.level == 0]
-        yield list(range(len(docs))), [""] * len(docs), [None] * len(docs), "document", [[(k, x) for k, v in mine if (x := v[i]) is not None] for i in range(len(docs))]
+        yield list(range(len(docs))), [""] * len(docs), [None] * len(docs), "document", _fields(root, np.arange(len(docs)))
 
 
 def _text(value) -> str:
@@ -262,12 +381,15 @@ def _text(value) -> str:
     return str(value).encode("utf-8", "replace").decode("utf-8")
 
 
-def shred(df: DataFrame, key: str = "rec_id", payload: str = "payload", leaves: bool = False, repeated: frozenset = REPEATED) -> DataFrame:
+def shred(df: DataFrame, key: str = "rec_id", payload: str = "payload", leaves: bool = False, repeated: frozenset | None = None) -> DataFrame:
     """Rows of all objects in arrays: the record's key as `rec_id`, node_path, parent_path.
 
     With `leaves` also `table_name`, the document itself (path '', parent null), arrays of scalars, and `fields`,
-    a map from the leaf's path inside the object to its value as text.
+    a map from the leaf's path inside the object to its value as text. repeated: the keys of arrays, if they are known;
+    else they are learnt from all of df.
     """
+    if repeated is None:
+        repeated = array_keys(df, payload)
 
     def run(batches):
         for batch in batches:
@@ -275,7 +397,7 @@ def shred(df: DataFrame, key: str = "rec_id", payload: str = "payload", leaves:
             docs, index = [], []
             for i, text in enumerate(texts):
                 doc = readable(text)
-                if doc is not None and _shallow(doc):
+                if doc is not None:
                     docs.append(doc)
                     index.append(i)
             if not docs:
