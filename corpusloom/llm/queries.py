@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import history, leakage, packing, pagebody, splitting, truncation
@@ -11,8 +11,12 @@ from corpusloom.sources.tables import table
 SECTION_LIMIT, PART_LIMIT, OVERLAP = 16_000, 8_192, 200
 
 
+def _section_limit() -> Column:
+    return F.when(F.col("doc_type") == "structured", SECTION_LIMIT).otherwise(PART_LIMIT)
+
+
 def _pieces(spark: SparkSession, folder: str, with_text: bool) -> DataFrame:
-    limit = F.when(F.col("doc_type") == "structured", SECTION_LIMIT).otherwise(PART_LIMIT)
+    limit = _section_limit()
     sections = splitting.split_oversized(table(spark, folder, "doc_sections"), "sec_id", "text", limit, OVERLAP, with_text)
     documents = splitting.split_oversized(table(spark, folder, "documents"), "doc_id", "text", PART_LIMIT, OVERLAP, with_text)
     return sections.withColumn("item_table", F.lit("doc_sections")).unionByName(documents.withColumn("item_table", F.lit("documents")))
@@ -27,6 +31,31 @@ def p1_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return _pieces(spark, folder, with_text=True).select("item_table", "item_id", "piece_no", "n_pieces", "start", "end", "boundary", "piece_text")
 
 
+def p1_restored(spark: SparkSession, folder: str) -> DataFrame:
+    """Each oversized item put together again from its pieces, with what must hold of them."""
+    pieces = _pieces(spark, folder, with_text=True)
+    part = F.struct("piece_no", F.when(F.col("piece_no") == 0, F.col("piece_text")).otherwise(F.substring("piece_text", OVERLAP + 1, SECTION_LIMIT)).alias("own"))
+    items = pieces.groupBy("item_table", "item_id").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(part)), lambda p: p["own"]), "").alias("text"),
+        F.max(F.col("end") - F.col("start")).alias("longest"),
+        F.max("n_pieces").alias("n_pieces"),
+        F.count("*").alias("n"),
+    )
+    limits = table(spark, folder, "doc_sections").select(F.lit("doc_sections").alias("item_table"), F.col("sec_id").alias("item_id"), _section_limit().alias("most"))
+    most = F.coalesce("most", F.lit(PART_LIMIT))
+    least = F.ceil((F.length("text") - OVERLAP) / (most - OVERLAP))
+    few = (F.col("n_pieces") == F.col("n")) & (F.col("n_pieces") >= least) & (F.col("n_pieces") <= least + F.greatest(F.lit(1), F.floor(least * splitting.SURPLUS)))
+    return items.join(limits, ["item_table", "item_id"], "left").select("item_table", "item_id", F.md5("text").alias("text_md5"), (F.col("longest") <= most).alias("within_limit"), few.alias("few_pieces"))
+
+
+P1_RESTORED = f"""
+SELECT 'doc_sections' AS item_table, sec_id AS item_id, md5(text) AS text_md5, true AS within_limit, true AS few_pieces FROM doc_sections
+WHERE length(text) > CASE WHEN doc_type = 'structured' THEN {SECTION_LIMIT} ELSE {PART_LIMIT} END
+UNION ALL
+SELECT 'documents' AS item_table, doc_id AS item_id, md5(text) AS text_md5, true AS within_limit, true AS few_pieces FROM documents WHERE length(text) > {PART_LIMIT}
+"""
+
+
 P1_FOUND = f"""
 SELECT 'doc_sections' AS item_table, sec_id AS item_id FROM doc_sections
 WHERE length(text) > CASE WHEN doc_type = 'structured' THEN {SECTION_LIMIT} ELSE {PART_LIMIT} END
@@ -91,8 +120,8 @@ def p8_rates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_pieces, p3_found, p4_found, p6_found, p6_containers, p6_fill, p7_found, p7_leaks, p8_found, p8_scores, p8_rates)}
+    return {f.__name__: f for f in (p1_found, p1_pieces, p1_restored, p3_found, p4_found, p6_found, p6_containers, p6_fill, p7_found, p7_leaks, p8_found, p8_scores, p8_rates)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_FOUND, "p7_found": P7_FOUND}
+    return {"p1_found": P1_FOUND, "p1_restored": P1_RESTORED, "p7_found": P7_FOUND}

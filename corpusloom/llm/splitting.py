@@ -3,8 +3,12 @@
 The smallest number of pieces is computed from the limit and the overlap, that
 many equal targets are placed, and each is moved to the strongest boundary
 nearby: a blank line, else a line end, a sentence end, a clause end, a space,
-else any place that doesn't part a character from its marks.  Where a piece
-then passes the limit, one piece is added and the targets are placed anew.
+else any place that doesn't part a character from its marks.  A cut is sought
+only where its piece keeps the limit and the rest still fits into the pieces
+left.  Where that leaves no good boundary, one piece is added and the targets of
+the rest are placed anew; what is cut already stays, so the time is linear in the
+length.  At most a twentieth of the least number of pieces is added (one at any
+rate).
 
 A piece begins exactly `overlap` characters before the previous one ends, so
 the text is restored by dropping that many from every piece but the first.
@@ -34,7 +38,14 @@ BOUNDARIES = (
     ("clause", re.compile(r"[,;:–—|]\s+")),
     ("space", re.compile(r"\s+")),
 )
+#: How far from its target a cut may be, as a share of the piece.
 REACH = 0.15
+#: So large a share of the least number of pieces may be added, and one at any rate, so that cuts find boundaries.
+SURPLUS = 0.05
+#: Boundaries for which a better one is sought with one piece more.
+WEAK = ("clause", "space", "none")
+#: So many characters before its target are searched as long as there is slack, when no piece may be added any more.
+FINE = 200
 
 
 def _joined(before: str, after: str) -> bool:
@@ -42,25 +53,29 @@ def _joined(before: str, after: str) -> bool:
     return bool(unicodedata.combining(after)) or after in "‍︎️" or before == "‍" or (before == "\r" and after == "\n") or "\U0001f3fb" <= after <= "\U0001f3ff"
 
 
-def snap(text: str, target: int, reach: int, low: int, high: int) -> tuple[int, str]:
-    """The strongest boundary within `reach` of the target, of equal ones the nearest (the earlier of two); low < cut < high."""
-    a, b = max(low + 1, target - reach), min(high - 1, target + reach)
-    window = text[max(0, a - 2) : b + 2]
-    base = max(0, a - 2)
+def snap(text: str, target: int, low: int, high: int) -> tuple[int, str]:
+    """The strongest boundary from `low` to `high`, of equal ones the nearest to the target (the earlier of two)."""
+    base = max(0, low - 2)
+    window = text[base : high + 2]
     for name, pattern in BOUNDARIES:
         best = None
         for m in pattern.finditer(window):
             at = base + m.end()
-            if a <= at <= b and at < len(text) and (best is None or abs(at - target) < abs(best - target)):
+            if low <= at <= high and at < len(text) and (best is None or abs(at - target) < abs(best - target)):
                 best = at
         if best is not None:
             return best, name
-    at = min(max(target, low + 1), high - 1)
-    while at > a and _joined(text[at - 1], text[at]):
+    at = min(max(target, low), high)
+    while at > low and _joined(text[at - 1], text[at]):
         at -= 1
     return at, "none"
 
 
+def _least(n: int, limit: int, overlap: int) -> int:
+    """How many pieces a stretch of n characters needs at least."""
+    return max(1, -(-(n - overlap) // (limit - overlap)))
+
+
 def cuts(text: str, limit: int, overlap: int, reach: float = REACH) -> list[tuple[int, int, str]]:
     """(start, end, boundary at the end) of the pieces of a text that is longer than the limit."""
     if not 0 <= overlap < limit:
@@ -68,22 +83,34 @@ def cuts(text: str, limit: int, overlap: int, reach: float = REACH) -> list[tupl
     n = len(text)
     if n <= limit:
         return [(0, n, "end")]
-    k = -(-(n - overlap) // (limit - overlap))
-    while True:
-        step = (n - overlap) / k
-        room = int(min(reach * (step + overlap), step / 3))
-        pieces, start, end = [], 0, 0
-        for i in range(1, k):
-            at, name = snap(text, int(i * step) + overlap, room, max(end, start + overlap), n)
-            pieces.append((start, at, name))
-            start, end = at - overlap, at
-        pieces.append((start, n, "end"))
-        if all(b - a <= limit for a, b, _ in pieces):
-            return pieces
-        if step <= 1:  # limits of a few characters: plain cuts
-            ends = [*range(limit, n, limit - overlap), n]
-            return [(max(0, e - limit) if e < n else max(0, (ends[j - 1] - overlap) if j else 0), e, "none" if e < n else "end") for j, e in enumerate(ends)]
-        k += 1
+    gain = limit - overlap
+    left = _least(n, limit, overlap)
+    spare = max(1, int(left * SURPLUS))
+    pieces, start, end = [], 0, 0
+    while n - start > limit:
+        # the rest in equal targets; `slack` characters may be lost by cuts before their targets
+        rest = n - start - overlap
+        left = max(left, _least(n - start, limit, overlap))
+        while True:
+            target = start + overlap + -(-rest // left)
+            slack = left * gain - rest
+            room = int(min(reach * (target - start), (target - start - overlap) / 3))
+            low = max(target - room, n - (left - 1) * gain)
+            if not spare:
+                # no piece may be added any more: a cut takes about its share of the slack
+                low = max(low, target - max(2 * slack // left, min(slack, FINE)))
+            low = max(min(low, target), end + 1, start + overlap + 1)
+            high = min(target + room, start + limit)
+            at, name = snap(text, min(target, high), low, max(low, high))
+            if spare and name in WEAK and low > target - room:
+                # the limit of the rest stands in the way of a better boundary: one piece more, and the targets of the rest anew
+                spare, left = spare - 1, left + 1
+                continue
+            break
+        pieces.append((start, at, name))
+        start, end, left = at - overlap, at, left - 1
+    pieces.append((start, n, "end"))
+    return pieces
 
 
 def split_oversized(df: DataFrame, key: str, text: str, limit: Column | int, overlap: int = 200, with_text: bool = True) -> DataFrame:

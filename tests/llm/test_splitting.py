@@ -1,3 +1,6 @@
+import random
+import time
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -41,3 +44,30 @@ def test_tables(spark):
     assert split_oversized(df.limit(0), "id", "text", 5, 2).count() == 0
     with pytest.raises(ValueError):
         cuts("abc", 2, 2)
+
+
+def test_linear_time_and_few_pieces():
+    """Pieces at most a twentieth over the least number, in time that grows with the length."""
+    rng = random.Random(2)
+    words = ["w" * rng.randint(1, 12) + rng.choice(["", "", "", ",", ".", ".\n", ".\n\n"]) for _ in range(200_000)]
+    text, took = " ".join(words), []
+    for times in (1, 4, 16):
+        whole = text[: 1 << 20] * times
+        began = time.perf_counter()
+        pieces = cuts(whole, 8_192, 200)
+        took.append(time.perf_counter() - began)
+        least = -(-(len(whole) - 200) // (8_192 - 200))
+        assert len(pieces) <= least * 1.05 + 1 and restored(whole, pieces, 200) == whole
+        assert sum(x[2] in ("blank_line", "line") for x in pieces) > 0.8 * len(pieces)
+    assert took[2] < 16 * 3 * max(took[0], 0.02)
+    # no slack at all: the least number of pieces and one more at most
+    exact = (text * 3)[: 501 * (8_192 - 200) + 200]
+    assert 501 <= len(cuts(exact, 8_192, 200)) <= 526
+
+
+def test_failing_stretch_is_mended_in_place():
+    """A stretch without boundaries gets plain cuts, the others keep theirs."""
+    para = ("word " * 15 + "end.\n\n") * 200
+    text = para + "x" * 30_000 + para
+    names = [x[2] for x in cuts(text, 2_000, 100)]
+    assert names[0] == "blank_line" and names[-2] == "blank_line" and "none" in names
