@@ -1,9 +1,10 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from corpusloom.llm import packing
-from corpusloom.llm.packing import CAPACITY, _Bins, containers, encoder, pack
+from corpusloom.llm.packing import CAPACITY, _Bins, containers, encoder, pack, packed, search_effect
 
 
 def test_bins_hold_all_and_no_more():
@@ -54,3 +55,23 @@ def test_odd_tables(spark):
     assert containers(df.limit(0), "id", "text").count() == 0
     with pytest.raises(FileNotFoundError):
         packing.encoder("/nowhere")
+
+
+def test_layout_does_not_hang_on_arrival(spark, folder):
+    df = spark.read.parquet(f"{folder}/documents.parquet")
+    one, two = ({tuple(r) for r in containers(d, "doc_id", "text", shard_rows=40).collect()} for d in (df, df.orderBy(F.rand(3)).repartition(7)))
+    assert one == two and len(one) > 50
+
+
+def test_small_items_meet_every_step():
+    """Bins of many items: pairs beyond any fixed number of items of a bin are tried."""
+    rng = random.Random(3)
+    sizes = [rng.choice([3, 5, 7, 11, 13]) * 9 + rng.randint(0, 4) for _ in range(4000)]
+    bins, before, after, _ = packed(sizes, CAPACITY)
+    assert after <= before and after <= -(-sum(sizes) // CAPACITY) + 1
+    assert sorted(set(bins)) == list(range(after))
+
+
+def test_search_report(spark, folder):
+    r = search_effect(spark.read.parquet(f"{folder}/documents.parquet"), "doc_id", "text").collect()
+    assert len(r) == 1 and r[0].n_least <= r[0].n_containers <= r[0].n_best_fit
