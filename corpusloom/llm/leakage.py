@@ -10,9 +10,13 @@ with fewer hits are dropped without loss.  Kept regions are verified by a
 banded local alignment over all of a chunk's regions at once, and the longest
 run of consecutive shared words is read off each verified region.
 
+A q-gram that many items share isn't expanded for all of a text at once: hits are
+counted in parts of bounded size, and bands that the text has passed leave the
+counts, so a hot q-gram costs time but no memory.
+
 The items are a stated query set: they are read in blocks of a bounded number
-of characters (`BLOCK_CHARS`, checked by an aggregate), each block's index goes
-to the executors once, and the corpus is scanned once per block.  Nothing is
+of characters (`BLOCK_CHARS`, counted while they are read), each block's index
+goes to the executors once, and the corpus is scanned once per block.  Nothing is
 shuffled, every text is read whole, and a text of any length is handled in
 chunks of `CHUNK` bytes.
 
@@ -24,10 +28,9 @@ columns are not read.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +39,10 @@ from corpusloom.llm.words import plain
 Q, WORDS, EDITS = 16, 12, 2
 PENALTY = 8
 CHUNK = 1 << 20
-BLOCK_CHARS = 16_000_000
+#: Characters of items whose index is held at a time: about 160 MB.
+BLOCK_CHARS = 8_000_000
+#: Hits expanded, and cells aligned, at a time in a task.
+MOST_HITS, MOST_CELLS = 1_000_000, 4_000_000
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _BITS = 22
 
@@ -51,107 +57,173 @@ def grams(data: bytes) -> np.ndarray:
     return (first ^ (first >> np.uint64(29))) + eight[8 : 8 + n] * _B
 
 
+def run_codes(tokens: list[str], words: int) -> np.ndarray:
+    """A 64-bit code of the words from each place on."""
+    return np.array([xxhash.xxh3_64_intdigest(" ".join(tokens[i : i + words])) for i in range(len(tokens) - words + 1)], np.uint64)
+
+
 class Index:
-    """The items' q-grams with their places, and what is needed to verify a region."""
+    """The items' q-grams with their places, and what is needed to verify a region.
+
+    About 20 bytes a character: the sorted distinct q-grams with the number of their first entry, one entry a place (its place in the
+    items' texts one after the other), these texts, and the codes of the items' runs of `words` words.
+    """
 
     def __init__(self, items: list[tuple], words: int = WORDS, edits: int = EDITS):
-        self.words, self.edits, self.ids, self.data, self.need = words, edits, [], [], []
-        self.runs: list[set] = []
-        codes, owner, place = [], [], []
+        self.words, self.edits, self.ids = words, edits, []
+        data: list[bytes] = []
+        runs: list[np.ndarray] = []
+        need: list[tuple[int, int]] = []
         for item, text in items:
             tokens = plain(text or "").split(" ")
             if len(tokens) < words:
                 continue
-            data = " ".join(tokens).encode()
-            windows = {" ".join(tokens[i : i + words]) for i in range(len(tokens) - words + 1)}
-            shortest = min(len(w.encode()) for w in windows)
-            k = len(self.ids)
+            own = " ".join(tokens).encode("utf-8", "replace")
+            places = np.cumsum([0] + [len(t.encode("utf-8", "replace")) + 1 for t in tokens])
+            shortest = int((places[words:] - places[:-words]).min()) - 1
             self.ids.append(item)
-            self.data.append(data)
-            self.runs.append(windows)
-            self.need.append((max(1, shortest + 1 - Q * (edits + 1)), max(1, shortest - edits * (1 + PENALTY))))
-            g = grams(data)
-            codes.append(g)
-            owner.append(np.full(len(g), k, np.int32))
-            place.append(np.arange(len(g), dtype=np.int32))
-        codes = np.concatenate(codes) if codes else np.empty(0, np.uint64)
+            data.append(own)
+            runs.append(np.unique(run_codes(tokens, words)))
+            need.append((max(1, shortest + 1 - Q * (edits + 1)), max(1, shortest - edits * (1 + PENALTY)), max(1, shortest + 1 - Q)))
+        #: least q-grams of a region, least score of a passage, least q-grams of a region with a passage without an edit
+        self.need = np.array(need, np.int64).reshape(-1, 3)
+        self.sizes = np.array([len(d) for d in data], np.int64)
+        # a byte that isn't in any text stands between items
+        self.starts = np.cumsum(self.sizes + 1) - self.sizes - 1
+        self.data = b"\x00".join(data)
+        self.runs = np.concatenate(runs) if runs else np.empty(0, np.uint64)
+        self.run_ends = np.cumsum([len(r) for r in runs]).astype(np.int64)
+        codes = grams(self.data)
+        inside = np.ones(len(codes), bool)
+        for k in range(1, Q + 1):
+            # no q-gram reaches over the end of its item
+            at = self.starts + self.sizes + 1 - k
+            inside[at[(at >= 0) & (at < len(codes))]] = False
+        place = np.flatnonzero(inside).astype(np.uint32)
+        codes = codes[place]
         order = np.argsort(codes, kind="stable")
-        self.codes, self.first, self.count = np.unique(codes[order], return_index=True, return_counts=True)
-        self.owner = (np.concatenate(owner) if owner else np.empty(0, np.int32))[order]
-        self.place = (np.concatenate(place) if place else np.empty(0, np.int32))[order]
+        codes, self.place = codes[order], place[order]
+        del order, place, inside
+        new = np.ones(len(codes), bool)
+        new[1:] = codes[1:] != codes[:-1]
+        self.codes = codes[new]
+        self.first = np.append(np.flatnonzero(new), len(codes)).astype(np.uint32)
         self.filter = np.zeros(1 << _BITS, bool)
         self.filter[self._slot(self.codes)] = True
-        self.shortest = min((len(d) for d in self.data), default=0)
 
     @staticmethod
     def _slot(codes: np.ndarray) -> np.ndarray:
         return ((codes * _B) >> np.uint64(64 - _BITS)).astype(np.int64)
 
-    def hits(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place in data, item, place in item) of all shared q-grams."""
+    @property
+    def nbytes(self) -> int:
+        return len(self.data) + sum(x.nbytes for x in (self.codes, self.first, self.place, self.runs, self.run_ends, self.sizes, self.starts, self.need, self.filter))
+
+    def shared(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """(places in data, numbers of q-grams) of all shared q-grams, without their places in the items."""
         codes = grams(data)
         at = np.flatnonzero(self.filter[self._slot(codes)])
         if not at.size or not self.codes.size:
-            return at[:0], at[:0], at[:0]
+            return at[:0], at[:0]
         found = np.searchsorted(self.codes, codes[at])
         found[found == len(self.codes)] = 0
         same = self.codes[found] == codes[at]
-        at, found = at[same], found[same]
-        times = self.count[found]
-        entry = np.repeat(self.first[found] - np.cumsum(times) + times, times) + np.arange(times.sum())
-        return np.repeat(at, times), self.owner[entry].astype(np.int64), self.place[entry].astype(np.int64)
-
-    def regions(self, data: bytes) -> np.ndarray:
-        """(item, first diagonal) of the bands that hold enough shared q-grams, as rows."""
-        at, item, place = self.hits(data)
+        return at[same], found[same]
+
+    def regions(self, data: bytes, most: int = MOST_HITS) -> np.ndarray:
+        """(item, first diagonal, shared q-grams) of the bands that hold enough of them, as rows.
+
+        A q-gram that many items share has as many places, so hits are expanded for at most about `most` at a time (one q-gram's places at
+        least) and only the counts of bands are kept; bands that the text has passed are judged and leave the counts.
+        """
+        at, found = self.shared(data)
         if not at.size:
-            return np.empty((0, 2), np.int64)
-        step = self.edits + 1
-        band = (at - place + (1 << 32)) // step
-        need = np.array([a for a, _ in self.need])
-        keys = np.concatenate([item << 40 | band, item << 40 | (band - 1)])
-        keys, count = np.unique(keys, return_counts=True)
-        keys = keys[count >= need[keys >> 40]]
-        return np.stack([keys >> 40, (keys & ((1 << 40) - 1)) * step - (1 << 32)], axis=1)
-
-    def verified(self, data: bytes, regions: np.ndarray) -> np.ndarray:
-        """The regions whose banded local alignment scores enough; all regions advance together."""
-        if not len(regions):
-            return regions
+            return np.empty((0, 3), np.int64)
+        step, first = self.edits + 1, self.first.astype(np.int64)
+        times = first[found + 1] - first[found]
+        total = np.cumsum(times)
+        keys, counts, kept = np.empty(0, np.int64), np.empty(0, np.int64), []
+        begin = 0
+        while begin < len(at):
+            end = max(begin + 1, int(np.searchsorted(total, (total[begin - 1] if begin else 0) + most, "right")))
+            n = times[begin:end]
+            entry = np.repeat(first[found[begin:end]] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            place = self.place[entry].astype(np.int64)
+            item = np.searchsorted(self.starts, place, "right") - 1
+            band = (np.repeat(at[begin:end], n) - place + self.starts[item] + (1 << 32)) // step
+            bands, c = np.unique(item << 40 | band, return_counts=True)
+            # overlapping bands of twice the width
+            own, inverse = np.unique(np.concatenate([keys, bands, bands - 1]), return_inverse=True)
+            c = np.bincount(inverse, np.concatenate([counts, c, c])).astype(np.int64)
+            # a band whose item has ended before the next place gets no more hits
+            item, band = own >> 40, own & ((1 << 40) - 1)
+            over = (band + 2) * step - (1 << 32) + self.sizes[item] < (at[end] if end < len(at) else 1 << 40)
+            enough = over & (c >= self.need[item, 0])
+            kept.append(np.stack([own[enough], c[enough]]))
+            keys, counts = own[~over], c[~over]
+            begin = end
+        keys, counts = np.concatenate(kept, axis=1)
+        return np.stack([keys >> 40, (keys & ((1 << 40) - 1)) * step - (1 << 32), counts], axis=1)
+
+    def verified(self, data: bytes, regions: np.ndarray, most: int = MOST_CELLS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which regions' banded local alignments score enough, their scores and edits. regions: item, first diagonal, begin and end of the text.
+
+        Regions of like length advance together, as many as `most` cells hold, so that a long item costs its own length only.
+        """
+        order = np.argsort(self.sizes[regions[:, 0]], kind="stable")
+        sizes = self.sizes[regions[order, 0]]
+        score, edits, begin = np.zeros(len(regions), np.int64), np.zeros(len(regions), np.int64), 0
+        while begin < len(regions):
+            fits = np.arange(1, len(regions) - begin + 1) * sizes[begin:] <= most
+            end = begin + max(1, int(fits.argmin()) if not fits.all() else len(fits))
+            own = order[begin:end]
+            score[own], edits[own] = self._aligned(data, regions[own])
+            begin = end
+        at = np.flatnonzero(score >= self.need[regions[:, 0], 1])
+        return at, score[at], edits[at]
+
+    def _aligned(self, data: bytes, regions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         width = 2 * (self.edits + 1)
-        longest = max(len(self.data[k]) for k in regions[:, 0])
-        text = np.frombuffer(data, np.uint8)
-        items = np.zeros((len(regions), longest), np.uint8)
-        for r, k in enumerate(regions[:, 0]):
-            items[r, : len(self.data[k])] = np.frombuffer(self.data[k], np.uint8)
-        score = np.zeros((len(regions), width + 1), np.int32)
-        best = np.zeros(len(regions), np.int32)
+        sizes = self.sizes[regions[:, 0]]
+        longest = int(sizes.max())
+        text, source = np.frombuffer(data, np.uint8), np.frombuffer(self.data, np.uint8)
+        column = np.arange(longest)
+        items = np.where(column < sizes[:, None], source[np.minimum(self.starts[regions[:, 0]][:, None] + column, len(source) - 1)], 0).astype(np.uint8)
+        # score and number of edits in one number: of equal scores the one with fewer edits is the larger
+        unit = 1 << 20
+        score = np.zeros((len(regions), width + 1), np.int64)
+        best = np.zeros(len(regions), np.int64)
         places = regions[:, 1][:, None] + np.arange(width)[None, :]
+        low, high = regions[:, 2:3], regions[:, 3:4]
+        gain, loss = unit, PENALTY * unit + 1
         for i in range(longest):
             j = places + i
-            seen = np.where((j >= 0) & (j < len(text)), text[np.clip(j, 0, len(text) - 1)], 255)
-            equal = (seen == items[:, i : i + 1]) & (items[:, i : i + 1] != 0)
-            new = np.maximum(np.maximum(score[:, :width] + np.where(equal, 1, -PENALTY), score[:, 1:] - PENALTY), 0)
+            inside = (j >= low) & (j < high)
+            equal = inside & (text[np.clip(j, 0, len(text) - 1)] == items[:, i : i + 1]) & (items[:, i : i + 1] != 0)
+            new = np.maximum(np.maximum(score[:, :width] + np.where(equal, gain, -loss), score[:, 1:] - loss), 0)
             for k in range(1, width):
-                new[:, k] = np.maximum(new[:, k], new[:, k - 1] - PENALTY)
+                new[:, k] = np.maximum(new[:, k], new[:, k - 1] - loss)
+            new[~inside] = 0
             score[:, :width] = new
             best = np.maximum(best, new.max(axis=1))
-        need = np.array([b for _, b in self.need])
-        return regions[best >= need[regions[:, 0]]]
+        value = -(-best // unit)
+        return value, value * unit - best
 
     def run(self, item: int, data: bytes, diagonal: int) -> int:
         """The most consecutive words of the item that stand consecutively in the region of a text."""
         a = max(0, diagonal)
-        b = min(len(data), diagonal + 2 * (self.edits + 1) + len(self.data[item]))
+        b = min(len(data), diagonal + 2 * (self.edits + 1) + int(self.sizes[item]))
         if a:
             a = data.rfind(b" ", 0, a + 1) + 1
         end = data.find(b" ", b)
-        tokens = data[a : len(data) if end < 0 else end].decode("utf-8", "replace").split(" ")
-        n, windows, longest, current = self.words, self.runs[item], 0, 0
-        for i in range(len(tokens) - n + 1):
-            current = current + 1 if " ".join(tokens[i : i + n]) in windows else 0
-            longest = max(longest, current)
-        return longest + n - 1 if longest else 0
+        codes = run_codes(data[a : len(data) if end < 0 else end].decode("utf-8", "replace").split(" "), self.words)
+        own = self.runs[self.run_ends[item - 1] if item else 0 : self.run_ends[item]]
+        at = np.searchsorted(own, codes)
+        at[at == len(own)] = 0
+        both = np.concatenate([[False], own[at] == codes, [False]]) if len(codes) else np.zeros(1, bool)
+        change = np.flatnonzero(both[1:] != both[:-1])
+        longest = int((change[1::2] - change[::2]).max(initial=0))
+        return longest + self.words - 1 if longest else 0
 
 
 def _chunks(texts: list[str], index: Index):
@@ -159,7 +231,7 @@ def _chunks(texts: list[str], index: Index):
     held: list[bytes] = []
     rows: list[int] = []
     size = 0
-    lap = 2 * max((len(d) for d in index.data), default=0) + 4 * Q
+    lap = 2 * int(index.sizes.max(initial=0)) + 4 * Q
     for row, text in enumerate(texts):
         data = plain(text).encode("utf-8", "replace")
         if len(data) < Q:
@@ -181,48 +253,85 @@ def _chunks(texts: list[str], index: Index):
         yield rows, held
 
 
-def scan(texts: list[str], index: Index) -> dict[tuple[int, int], int]:
-    """{(row, item): longest run of shared words, 0 where a passage is only similar} of a batch of texts."""
-    found: dict[tuple[int, int], int] = {}
+def scan(texts: list[str], index: Index) -> dict[tuple[int, int], tuple[int, int, int]]:
+    """{(row, item): (longest run of shared words, score, edits)} of a batch of texts; the run is 0 where a passage is only similar."""
+    found: dict[tuple[int, int], tuple[int, int, int]] = {}
     for rows, held in _chunks(texts, index):
         data = b"\n".join(held)
-        starts = np.cumsum([0] + [len(d) + 1 for d in held])
-        for item, diagonal in index.verified(data, index.regions(data)):
-            middle = max(0, diagonal) if diagonal >= 0 else 0
-            # a region may touch several short texts: each is read on its own
-            last = np.searchsorted(starts, diagonal + 2 * (index.edits + 1) + len(index.data[item]), "right") - 1
-            for t in range(np.searchsorted(starts, middle, "right") - 1, min(last, len(held) - 1) + 1):
-                words = index.run(int(item), held[t], int(diagonal - starts[t]))
-                key = (rows[t], int(item))
-                if words or (t == min(last, len(held) - 1) and key not in found):
-                    found[key] = max(words, found.get(key, 0))
+        sizes = np.array([len(d) for d in held], np.int64)
+        starts = np.cumsum(sizes + 1) - sizes - 1
+        regions = index.regions(data)
+        # a region may touch several short texts: it is read in each of them
+        first = np.searchsorted(starts, np.maximum(0, regions[:, 1]), "right") - 1
+        last = np.minimum(np.searchsorted(starts, regions[:, 1] + 2 * (index.edits + 1) + index.sizes[regions[:, 0]], "right") - 1, len(held) - 1)
+        n = last - first + 1
+        which = np.repeat(np.arange(len(regions)), n)
+        of = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + first[which]
+        count, regions = regions[which, 2], np.column_stack([regions[which, :2], starts[of], starts[of] + sizes[of]])
+        # passages without an edit have more q-grams: all those regions are read; of the others each text and item needs one that holds,
+        # so they are tried by their number of q-grams until there is one
+        whole = count >= index.need[regions[:, 0], 2]
+        pair = of << 40 | regions[:, 0]
+        order = np.lexsort((-count, ~whole, pair))
+        rank = np.arange(len(order)) - np.maximum.accumulate(np.where(np.diff(pair[order], prepend=-1) != 0, np.arange(len(order)), 0))
+        now, left = order[whole[order] | (rank == 0)], order[~whole[order] & (rank > 0)]
+        while now.size:
+            at, scores, edits = index.verified(data, regions[now])
+            now = now[at]
+            left = left[~np.isin(pair[left], pair[now])]
+            for t, (item, diagonal), exact, score, edit in zip(of[now].tolist(), regions[now, :2].tolist(), whole[now].tolist(), scores.tolist(), edits.tolist(), strict=True):
+                words = index.run(item, held[t], diagonal - int(starts[t])) if exact else 0
+                key = (rows[t], item)
+                old = found.get(key, (0, 0, 0))
+                better = (score, edit) if (score, -edit) > (old[1], -old[2]) else old[1:]
+                found[key] = (max(words, old[0]), *better)
+            # of each pair that is left the next region
+            first = np.ones(len(left), bool)
+            first[1:] = pair[left[1:]] != pair[left[:-1]]
+            now, left = left[first], left[~first]
     return found
 
 
+def blocks_of(source: DataFrame, block_chars: int):
+    """The items (k, t) in blocks of at most `block_chars` characters and one item; they come to the driver block by block."""
+    block, size = [], 0
+    for k, t in source.toLocalIterator():
+        block.append((k, t))
+        size += len(t)
+        if size >= block_chars:
+            yield block
+            block, size = [], 0
+    if block:
+        yield block
+
+
 def leaks(corpus: DataFrame, key: str, text: str, items: DataFrame, item_key: str, item_text: str, words: int = WORDS, edits: int = EDITS, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """(item_id, doc_id, n_words): for every text and item the longest run of at least `words` consecutive words they share."""
+    """(item_id, doc_id, n_words, score, edits) of every text and item with a passage of `words` words within `edits` edits.
+
+    n_words: the longest run of at least `words` consecutive words that they share, 0 where none is without an edit. score, edits: of the
+    best aligned passage, a character each less `PENALTY` an edit (a missing or added word counts its characters); where a passage is
+    longer than the edit budget allows, that of its best part.
+    """
     spark = corpus.sparkSession
     source = items.select(F.col(f"`{item_key}`").alias("k"), F.col(f"`{item_text}`").alias("t")).where("t is not null")
-    total = source.agg(F.sum(F.length("t"))).first()[0] or 0
-    blocks = max(1, math.ceil(total / block_chars))
     kind, item_kind = corpus.schema[key].dataType.simpleString(), items.schema[item_key].dataType.simpleString()
     rows = corpus.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t")).where("t is not null and t <> ''")
     out = None
-    for block in range(blocks):
-        # at most block_chars characters in expectation: a bounded part of the query set
-        part = [tuple(r) for r in source.where(F.pmod(F.xxhash64("k", "t"), F.lit(blocks)) == block).collect()]
+    for part in blocks_of(source, block_chars):
         shared = spark.sparkContext.broadcast(Index(part, words, edits))
 
         def run(batches, shared=shared):
             index = shared.value
             for batch in batches:
                 found = scan(batch.column(1).to_pylist(), index)
-                pairs = [(row, index.ids[item], n) for (row, item), n in found.items() if n >= words]
-                cols = [pa.array([p[1] for p in pairs], _arrow(item_kind)), batch.column(0).take(pa.array([p[0] for p in pairs], pa.int64())), pa.array([p[2] for p in pairs], pa.int32())]
-                yield pa.RecordBatch.from_arrays(cols, names=["item_id", "doc_id", "n_words"])
+                pairs = [(row, index.ids[item], *x) for (row, item), x in found.items()]
+                cols = [pa.array([p[1] for p in pairs], _arrow(item_kind)), batch.column(0).take(pa.array([p[0] for p in pairs], pa.int64())), *(pa.array([p[k] for p in pairs], pa.int32()) for k in (2, 3, 4))]
+                yield pa.RecordBatch.from_arrays(cols, names=["item_id", "doc_id", "n_words", "score", "edits"])
 
-        each = rows.mapInArrow(run, f"item_id {item_kind}, doc_id {kind}, n_words int")
+        each = rows.mapInArrow(run, f"item_id {item_kind}, doc_id {kind}, n_words int, score int, edits int")
         out = each if out is None else out.unionByName(each)
+    if out is None:
+        return rows.where("false").select(F.lit(None).cast(item_kind).alias("item_id"), F.col("k").alias("doc_id"), *[F.lit(0).alias(c) for c in ("n_words", "score", "edits")])
     return out
 
 

@@ -88,12 +88,18 @@ def p6_fill(spark: SparkSession, folder: str) -> DataFrame:
     return fill.groupBy(F.floor(F.col("n_tokens") * 100 / packing.CAPACITY).alias("percent")).agg(F.count("*").alias("n_containers"), F.sum("n_tokens").alias("n_tokens"))
 
 
+def p6_search(spark: SparkSession, folder: str) -> DataFrame:
+    """What the local search adds to best fit."""
+    return packing.search_effect(table(spark, folder, "documents"), "doc_id", "text")
+
+
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
-    return p7_leaks(spark, folder).select("item_id", "doc_id").distinct()
+    """Pairs with a run of shared words; those that are only similar stay in p7_leaks."""
+    return p7_leaks(spark, folder).where(F.col("n_words") >= leakage.WORDS).select("item_id", "doc_id").distinct()
 
 
 def p7_leaks(spark: SparkSession, folder: str) -> DataFrame:
-    """Every leak with the longest run of shared words."""
+    """Every leak, whole or with edits: the longest run of shared words, the score and the edits of its best passage."""
     return leakage.leaks(table(spark, folder, "documents"), "doc_id", "text", table(spark, folder, "eval_items"), "item_id", "item_text")
 
 
@@ -120,7 +126,7 @@ def p8_rates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_pieces, p1_restored, p3_found, p4_found, p6_found, p6_containers, p6_fill, p7_found, p7_leaks, p8_found, p8_scores, p8_rates)}
+    return {f.__name__: f for f in (p1_found, p1_pieces, p1_restored, p3_found, p4_found, p6_found, p6_containers, p6_fill, p6_search, p7_found, p7_leaks, p8_found, p8_scores, p8_rates)}
 
 
 def oracle_sql() -> dict[str, str]:
