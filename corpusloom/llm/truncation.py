@@ -17,10 +17,10 @@ those of at least `LEAST_RECORDS` of all records, counted by slots of their hash
 the last word of a text, which may be cut, doesn't count.
 
 The model is fitted on the driver on a bounded sample: about `TRAIN_ROWS`
-records (a parameter), chosen by a hash of the whole row; executors send only
+records (a parameter), chosen by a hash of the key; executors send only
 feature numbers, and one count a slot of the vocabulary.  Every record is scored.  Of a text only the last `WINDOW`
 characters leave the JVM, because no feature looks further back; its length is
-that of the whole text.
+that of the whole text.  Training and scoring see the same window.
 
 Defined results: null and blank texts aren't cut; texts are scored alike
 whatever their language; repeated rows are scored each; a source of few
@@ -47,6 +47,8 @@ WINDOW = 1_000
 BITS = 18
 #: Lengths up to so many characters below a limit, and up to three above, are near it.
 NEAR = 12
+#: Limits of so many sources are broadcast at most; of more they are joined by a shuffle.
+BROADCAST_SOURCES = 100_000
 EPOCHS, RATE, L2 = 8, 0.15, 1e-6
 VOCABULARY_BITS, LEAST_RECORDS = 20, 3
 
@@ -76,6 +78,9 @@ def _hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text) & ((1 << BITS) - 1)
 
 
+_KNOWN = _hash("known")
+
+
 def word_slot(word: str) -> int:
     return xxhash.xxh3_64_intdigest(word) >> (64 - VOCABULARY_BITS)
 
@@ -102,7 +107,7 @@ def _masked(token: str, first: bool) -> str:
 
 
 def _form(line: str, core: str = "") -> str:
-    if core and _SIGN.search(core[-120:]):
+    if core and _SIGN.search(core):
         return "sign"
     for name, pattern in _FORMS:
         if pattern.search(line):
@@ -114,8 +119,8 @@ def _bucket(n: int) -> int:
     return n if n < 4 else 4 + min(6, (n - 4) // 4)
 
 
-def features(tail: str, near: int) -> tuple[list[int], int]:
-    """Feature numbers of a text's end, and the slot of its last word (-1 without one).
+def features(tail: str, near: int) -> tuple[list[int], int, list[int]]:
+    """Feature numbers of a text's end, the slot of its last word (-1 where its words count for nothing), and what is added if that is unknown.
 
     near: 0 far from any limit of the source, 1 near one of its character limits, 2 on it, 3 near one of its byte limits.
     """
@@ -152,20 +157,15 @@ def features(tail: str, near: int) -> tuple[list[int], int]:
             f"1 {one}", f"2 {two}", f"3 {three}", f"1d {one} {dots}", f"2d {two} {dots}", f"h1 {head} {one}", f"h2 {head2} {one}", f"h22 {head2} {two}", f"hn {head2} {n}",
             f"hc {head2} {commas}", f"h1c {head} {commas} {one}", f"h2c {head2} {commas} {two}", f"end3 {raw_last[-3:].casefold()}", f"len {len(raw_last)}", f"h {head2}", f"1n {one} {n}", f"last2 {words[-1] if words else ''} {kind}",
         ]
-        f += [f"has {w} {one}" for w in set(closing[:-1]) if len(w) < 6][:12]
-    return [_hash(x) for x in f], word_slot(raw_last.casefold()) if raw_last else -1
+        f += [f"has {w} {one}" for w in sorted(set(closing[:-1])) if len(w) < 6]
+    slot = word_slot(raw_last.casefold()) if raw_last and form not in STRUCTURED else -1
+    word = f"unknown {raw_last[:1].isupper()} {raw_last[:1].isdigit()}"
+    return [_hash(x) for x in f], slot, [_hash(x) for x in (word, f"{word} {ended}", f"{word} {form}")]
 
 
-def unknown_features(tail: str, slot: int, known: np.ndarray) -> list[int]:
-    """What the vocabulary says about the last word of an unfinished text."""
-    core = _MARKS.sub("", tail.rstrip())
-    form = _form(core.rpartition("\n")[2], core)
-    if slot < 0 or known[slot] or form in STRUCTURED:
-        return [_hash("known")]
-    word = re.search(r"[^\W_]+[^\w]*$", core)
-    upper = bool(word and word[0][:1].isupper())
-    digit = bool(word and word[0][:1].isdigit())
-    return [_hash(f"unknown {upper} {digit}"), _hash(f"unknown {upper} {digit} {bool(_FINISHED.search(core))}"), _hash(f"unknown {upper} {digit} {form}")]
+def told(slot: int, unknown: list[int], known: np.ndarray) -> list[int]:
+    """What the vocabulary says about the last word of a text."""
+    return [_KNOWN] if slot < 0 or known[slot] else unknown
 
 
 def artificial(text: str, seed: int, limits: list[int], times: int = CUTS) -> list[tuple[str, int]]:
@@ -211,8 +211,8 @@ class Model:
     known: np.ndarray
 
     def score(self, tail: str, near: int) -> float:
-        f, slot = features(tail, near)
-        return float(self.weights[f].sum() + self.weights[unknown_features(tail, slot, self.known)].sum())
+        f, slot, unknown = features(tail, near)
+        return float(self.weights[f + told(slot, unknown, self.known)].sum())
 
 
 def fit(examples: list[tuple[list[int], int]], seed: int = 7) -> np.ndarray:
@@ -259,13 +259,17 @@ def fit_cleaned(rows: list[tuple[list[int], int]], rounds: int = 3) -> tuple[np.
     return fit([(f, int(kind == CUT)) for i, (f, kind) in enumerate(rows) if i not in out]), len(out)
 
 
-def limits(texts: DataFrame, least: int = 5) -> DataFrame:
+def length_counts(texts: DataFrame) -> DataFrame:
+    """(source, kind, n, c): how many texts of a source have which length, in characters and in bytes. texts: source, n_chars, n_bytes."""
+    lengths = texts.select("source", F.explode(F.array(F.struct(F.lit("chars").alias("kind"), F.col("n_chars").alias("n")), F.struct(F.lit("bytes").alias("kind"), F.col("n_bytes").alias("n")))).alias("e"))
+    return lengths.groupBy("source", "e.kind", "e.n").agg(F.count("*").alias("c"))
+
+
+def limits(counts: DataFrame, least: int = 5) -> DataFrame:
     """(source, kind, at): lengths, in characters or bytes, near which a source has many more texts than around.
 
-    texts: source, n_chars, n_bytes. Counts by source and length are added up first; the windows run over those.
+    counts: see length_counts. The windows run over those.
     """
-    lengths = texts.select("source", F.explode(F.array(F.struct(F.lit("chars").alias("kind"), F.col("n_chars").alias("n")), F.struct(F.lit("bytes").alias("kind"), F.col("n_bytes").alias("n")))).alias("e"))
-    counts = lengths.groupBy("source", "e.kind", "e.n").agg(F.count("*").alias("c"))
     by = Window.partitionBy("source", "kind").orderBy("n")
     here, around = F.sum("c").over(by.rangeBetween(-NEAR, 0)), F.sum("c").over(by.rangeBetween(-200, 200))
     seen = counts.select("source", "kind", "n", "c", here.alias("here"), around.alias("around"))
@@ -310,33 +314,29 @@ def vocabulary(rows: DataFrame) -> np.ndarray:
     return known
 
 
-def train(rows: DataFrame, limit_of: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
-    """The model, fitted on about `train_rows` records chosen by hash; the vocabulary is that of all records."""
-    every = max(1, round(rows.count() / train_rows))
-    sample = rows.where(F.pmod(F.xxhash64("k", "t"), F.lit(every)) == 0).join(_listed(limit_of), "source", "left")
+def train(rows: DataFrame, listed: DataFrame, n_rows: int, train_rows: int = TRAIN_ROWS) -> Model:
+    """The model, fitted on about `train_rows` of the n_rows records, chosen by a hash of the key; the vocabulary is that of all records."""
+    every = max(1, round(n_rows / train_rows))
+    sample = rows.where(F.pmod(F.xxhash64("k"), F.lit(every)) == 0).join(listed, "source", "left")
 
     def run(batches):
         for rb in batches:
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], []]
             for t, n, m, chars, bytes_ in zip(*(rb.column(c).to_pylist() for c in ("t", "n_chars", "n_bytes", "chars", "bytes")), strict=True):
                 seed = xxhash.xxh3_64_intdigest(t.encode("utf-8", "replace"))
                 own = [(t, _near(n, m, chars or (), bytes_ or ()), REAL), *((c, near, CUT) for c, near in artificial(t, seed, list(chars or ()))), *((c, 0, DOTS) for c in trailing_dots(t, seed))]
                 for no, (c, near, kind) in enumerate(own):
-                    f, slot = features(c[-WINDOW:], near)
-                    for column, x in zip(out, (seed - (1 << 63), no, kind, f, (slot, c[-80:])), strict=True):
+                    for column, x in zip(out, (seed - (1 << 63), no, kind, *features(c[-WINDOW:], near)), strict=True):
                         column.append(x)
-            slots, tails = [x[0] for x in out[4]], [x[1] for x in out[4]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.list_(pa.int32())), pa.array(slots, pa.int32()), pa.array([x.encode("utf-8", "replace").decode() for x in tails])],
-                names=["seed", "no", "kind", "f", "slot", "tail"],
-            )
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.int32(), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["seed", "no", "kind", "f", "slot", "unknown"])
 
     # about train_rows records, a handful of rows each: bounded by the parameter
-    found = sample.mapInArrow(run, "seed long, no int, kind int, f array<int>, slot int, tail string").toArrow()
+    found = sample.mapInArrow(run, "seed long, no int, kind int, f array<int>, slot int, unknown array<int>").toArrow()
     order = sorted(zip(*(found.column(c).to_pylist() for c in ("seed", "no")), range(found.num_rows), strict=True))
-    kinds, f, slots, tails = (found.column(c).to_pylist() for c in ("kind", "f", "slot", "tail"))
+    kinds, f, slots, unknown = (found.column(c).to_pylist() for c in ("kind", "f", "slot", "unknown"))
     known = vocabulary(rows)
-    examples = [(f[i] + unknown_features(tails[i], slots[i], known), kinds[i]) for _, _, i in order]
+    examples = [(f[i] + told(slots[i], unknown[i], known), kinds[i]) for _, _, i in order]
     return Model(fit_cleaned(examples)[0], known)
 
 
@@ -346,13 +346,21 @@ def _listed(limit_of: DataFrame) -> DataFrame:
     return limit_of.groupBy("source").agg(pick("chars").alias("chars"), pick("bytes").alias("bytes"))
 
 
+def prepared(rows: DataFrame) -> tuple[DataFrame, int]:
+    """One row a source with its limits, to be broadcast where they are counted to be few, and the number of all rows."""
+    counts = cut_lineage(length_counts(rows))
+    listed = cut_lineage(_listed(limits(counts)))
+    n_rows = counts.where("kind = 'chars'").agg(F.sum("c")).first()[0] or 0
+    return (F.broadcast(listed) if listed.count() <= BROADCAST_SOURCES else listed), n_rows
+
+
 def scored(docs: DataFrame, key: str, text: str, source: str, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """(doc_id, source, score, is_cut) of every record with a text."""
     rows = _prepared(docs, key, text, source)
-    limit_of = cut_lineage(limits(rows))
-    shared = docs.sparkSession.sparkContext.broadcast(train(rows, limit_of, train_rows))
+    listed, n_rows = prepared(rows)
+    shared = docs.sparkSession.sparkContext.broadcast(train(rows, listed, n_rows, train_rows))
     kind = docs.schema[key].dataType.simpleString()
-    tails = rows.withColumn("t", F.right("t", F.lit(WINDOW))).join(_listed(limit_of), "source", "left")
+    tails = rows.withColumn("t", F.right("t", F.lit(WINDOW))).join(listed, "source", "left")
 
     def run(batches):
         model = shared.value
