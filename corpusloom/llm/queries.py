@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,31 +71,25 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return pagebody.main_lines(table(spark, folder, "page_elements"), table(spark, folder, "manifest").select("doc_id", "url"))
 
 
-def _taken_in(spark: SparkSession, folder: str, batches_a_load: int | None) -> DataFrame:
-    """The pairs of all batches, taken into a history that begins empty by loads of so many batches (None: half of them)."""
-    documents = table(spark, folder, "documents")
-    kept = history.History(spark, f"{shared_dir(spark)}/history-{uuid.uuid4().hex}")
-    # a handful of batches
-    batches = sorted((r[0] for r in documents.select("batch_no").distinct().collect()), key=lambda b: (b is not None, b))
-    size = batches_a_load or max(1, (len(batches) + 1) // 2)
-    out = None
-    for i in range(0, len(batches), size):
-        load = documents.where(reduce(Column.__or__, [F.col("batch_no").eqNullSafe(F.lit(b)) for b in batches[i : i + size]]))
-        pairs = kept.add(load, "doc_id", "text", "batch_no")
-        out = pairs if out is None else out.unionByName(pairs)
-    if out is None:
-        out = history.repeats(documents, "doc_id", "text", "batch_no")
-    return out.select(F.least("doc_id", "other").alias("doc_id_a"), F.greatest("doc_id", "other").alias("doc_id_b"))
+def _paired(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("doc_id", "other").alias("doc_id_a"), F.greatest("doc_id", "other").alias("doc_id_b"))
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
-    """The first half of the batches begins the history, the other half is compared with what that keeps."""
-    return _taken_in(spark, folder, None)
+    """All batches as one load."""
+    return _paired(history.repeats(table(spark, folder, "documents"), "doc_id", "text", "batch_no"))
 
 
 def p4_loads(spark: SparkSession, folder: str) -> DataFrame:
-    """The same with every batch a load of its own."""
-    return _taken_in(spark, folder, 1)
+    """The same with every batch a load of its own, compared with what the history keeps of those before; the history begins empty."""
+    documents = table(spark, folder, "documents")
+    kept = history.History(spark, f"{shared_dir(spark)}/history-{uuid.uuid4().hex}")
+    out = None
+    # a handful of batches
+    for b in sorted((r[0] for r in documents.select("batch_no").distinct().collect()), key=lambda b: (b is not None, b)):
+        pairs = kept.add(documents.where(F.col("batch_no").eqNullSafe(F.lit(b))), "doc_id", "text", "batch_no")
+        out = pairs if out is None else out.unionByName(pairs)
+    return _paired(out if out is not None else history.repeats(documents, "doc_id", "text", "batch_no"))
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
