@@ -5,17 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_ZONES = {"GMT": "+0000", "UTC": "+0000", "UT": "+0000", "Z": "+0000", "EST": "-0500", "EDT": "-0400", "CST": "-0600", "CDT": "-0500", "MST": "-0700", "MDT": "-0600", "PST": "-0800", "PDT": "-0700"}
+#: Zones that RFC 822 names.
+ZONES = {"GMT": "+0000", "UTC": "+0000", "UT": "+0000", "Z": "+0000", "EST": "-0500", "EDT": "-0400", "CST": "-0600", "CDT": "-0500", "MST": "-0700", "MDT": "-0600", "PST": "-0800", "PDT": "-0700"}
+
+
+def _with_seconds(v: Column) -> Column:
+    return F.regexp_replace(v, r"^(.{10}[T ]\d{2}:\d{2})(?!:|\d)", "$1:00")
 
 
 def parse_instant(c: Column) -> Column:
     """Epoch seconds, ISO 8601 or RFC 822 to microseconds since 1970; a bare year is null, and so are numbers out of range."""
-    v = F.trim(c)
+    v = F.regexp_replace(c, r"^\s+|\s+$", "")
     epoch = F.when(v.rlike(r"^\d{5,}(\.\d+)?\z"), F.round(v.try_cast("double") * 1_000_000).try_cast("long"))
-    iso = F.when(v.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.]\d{1,9})?)?\s*(Z|z|[+-]\d{2}:?\d{2})?)?\z"), F.unix_micros(F.regexp_replace(F.upper(v), r"([+-]\d{2})(\d{2})$", "$1:$2").try_cast("timestamp")))
+    iso = F.when(v.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.]\d{1,9})?)?\s*(Z|z|[+-]\d{2}:?\d{2})?)?\z"), F.unix_micros(_with_seconds(F.regexp_replace(F.upper(v), r"([+-]\d{2})(\d{2})$", "$1:$2")).try_cast("timestamp")))
     zone = F.regexp_extract(v, r"([A-Za-z]+)$", 1)
     numeric = F.lit(None).cast("string")
-    for name, offset in _ZONES.items():
+    for name, offset in ZONES.items():
         numeric = F.when(F.upper(zone) == name, offset).otherwise(numeric)
     rest = F.regexp_replace(F.regexp_replace(v, r"^[A-Za-z]{3},\s*", ""), r"\s*[A-Za-z]+$", "")
     text = F.when(zone == "", F.regexp_replace(v, r"^[A-Za-z]{3},\s*", "")).otherwise(F.concat_ws(" ", rest, numeric))

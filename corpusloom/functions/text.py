@@ -61,8 +61,8 @@ def join_texts(*columns: Column, by: str = " - ") -> Column:
     return F.concat_ws(by, *columns)
 
 
-def without_doubled_slashes(c: Column) -> Column:
-    return F.regexp_replace(c, "&amp;", "&")
+def with_ampersands(c: Column) -> Column:
+    return F.replace(c, F.lit("&amp;"), F.lit("&"))
 
 
 def distinct_urls(c: Column) -> Column:
@@ -72,13 +72,22 @@ def distinct_urls(c: Column) -> Column:
 
 
 def canonical_map(m: Column) -> Column:
-    """A map as one text with sorted keys, to be hashed."""
+    """A map as one JSON text in ASCII with sorted keys and no spaces, to be hashed."""
     pairs = F.array_sort(F.map_entries(m))
     return F.concat(F.lit("{"), F.array_join(F.transform(pairs, lambda e: F.concat(_quoted(e["key"]), F.lit(":"), F.coalesce(_quoted(e["value"]), F.lit("null")))), ","), F.lit("}"))
 
 
+#: Characters that JSON escapes by a letter.
+_ESCAPES = (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"), ("\b", "\\b"), ("\f", "\\f"))
+
+
 def _quoted(c: Column) -> Column:
-    return F.concat(F.lit('"'), F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"'))
+    """A JSON string in ASCII: other characters as their UTF-16 units. Plain strings don't take that way."""
+    out = c
+    for plain, escaped in _ESCAPES:
+        out = F.replace(out, F.lit(plain), F.lit(escaped))
+    units = F.transform(F.regexp_extract_all(out, F.lit("(?s)(.)"), F.lit(1)), lambda x: F.when(x.rlike(r"^[ -~]\z"), x).otherwise(F.regexp_replace(F.lower(F.hex(F.encode(x, "UTF-16BE"))), "(.{4})", r"\\u$1")))
+    return F.concat(F.lit('"'), F.when(out.rlike(r"^[ -~]*\z"), out).otherwise(F.array_join(units, "")), F.lit('"'))
 
 
 def strip_fences(c: Column) -> Column:

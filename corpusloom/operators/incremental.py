@@ -115,3 +115,9 @@ def modified_within(items: DataFrame, indexed: DataFrame, modified: str, since:
     at = dates.parse_instant(F.col(modified))
     recent = items.where(at > F.unix_micros(F.lit(since).cast("timestamp")))
     return recent.join(indexed.select(key, F.lit(True).alias("_known")).distinct(), key, "left").select(key, F.when(F.col("_known"), "updated").otherwise("new").alias("change"))
+
+
+def removed(indexed: DataFrame, listed: DataFrame, key: str, listing_complete: bool) -> DataFrame:
+    """(key, change): what is indexed and not listed any more; nothing where the listing broke off."""
+    gone = indexed.join(listed.select(key), key, "left_anti").select(key, F.lit("removed").alias("change"))
+    return gone if listing_complete else gone.where("false")

@@ -26,14 +26,16 @@ def override(base: DataFrame, sidecar: DataFrame, key: str, columns: list[str])
     return base.join(extra, key, "left").withColumns({c: F.coalesce(F.col(f"_{c}"), F.col(c)) for c in columns}).drop(*[f"_{c}" for c in columns])
 
 
-def matched_by_containment(left: DataFrame, right: DataFrame, block: str, a: str, b: str) -> DataFrame:
-    """Names matched within a block: equal ones first, else the first of which one holds the other.
+def matched_by_containment(left: DataFrame, right: DataFrame, block: str, a: str, b: str, position: str) -> DataFrame:
+    """Names matched within a block: an equal one, else the first by position of which one holds the other. Empty names match nothing.
 
-    Containment is tested only within the block (a document's own pictures), never across all rows.
+    Equal names are found by a join; only what is left is tested for containment, within its block (a document's own pictures).
     """
-    both = left.select(block, a).join(right.select(block, b), block).where((F.col(a) == F.col(b)) | F.contains(a, b) | F.contains(b, a))
-    rank = F.struct((F.col(a) != F.col(b)).alias("inexact"), F.col(b).alias("b"))
-    return both.groupBy(block, a).agg(F.min(rank)["b"].alias(b))
+    left, right = left.where(F.col(a) != ""), right.where(F.col(b) != "")
+    equal = left.select(block, a).join(right.select(block, F.col(b).alias(a)).distinct(), [block, a], "left_semi").withColumn(b, F.col(a))
+    rest = left.select(block, a).join(equal.select(block, a), [block, a], "left_anti")
+    held = rest.join(right.select(block, b, position), block).where(F.contains(a, b) | F.contains(b, a))
+    return equal.unionByName(held.groupBy(block, a).agg(F.min_by(b, F.struct(position, b)).alias(b))).distinct()
 
 
 def merged_permissions(own: DataFrame, inherited: DataFrame, keys: list[str], position: str) -> DataFrame:
@@ -54,21 +56,31 @@ def substituted(df: DataFrame, key: str, text: str, names: DataFrame, pattern: s
     return df.join(pairs, key, "left").withColumn(text, F.when(F.col("_pairs").isNotNull(), replaced).otherwise(F.col(text))).drop("_pairs")
 
 
-def access_lists(permissions: DataFrame, key: str) -> DataFrame:
-    """Owners, readers, groups and domains of each key as sorted lists, and whether anyone has access. Deleted entries don't count.
+#: Roles that may read.
+READ_ROLES = ("reader", "commenter", "writer", "fileOrganizer", "organizer")
 
-    permissions: key, id, type, role, email, domain, deleted. The first entry of an id counts, entries without id all do.
+
+def access_lists(permissions: DataFrame, key: str, position: str) -> DataFrame:
+    """Owners, readers, groups and domains of each key as sorted lists, whether anyone has access, and whether a whole organisation has.
+
+    permissions: key, position, id, type, role, email, domain, deleted. Of an id only the first entry by position counts, whatever it says;
+    entries without id all count. Deleted ones don't, but they do hide later ones of their id.
     """
-    live = permissions.where(~F.coalesce(F.col("deleted"), F.lit(False)))
-    mail, user = F.lower("email"), F.col("type") == "user"
+    entry = F.struct("type", "role", "email", "domain", "deleted")
+    named = permissions.where("id is not null and id <> ''").groupBy(key, "id").agg(F.min_by(entry, position).alias("e"))
+    first = named.select(key, "e.*").unionByName(permissions.where("id is null or id = ''").select(key, "type", "role", "email", "domain", "deleted"))
+    live = first.where(~F.coalesce(F.col("deleted"), F.lit(False)))
+    mail, domain, user = F.nullif(F.lower("email"), F.lit("")), F.nullif(F.lower("domain"), F.lit("")), F.col("type") == "user"
 
     def listed(when: Column, value: Column) -> Column:
         return F.array_join(F.array_sort(F.collect_set(F.when(when, value))), ",")
 
+    domains = F.col("type") == "domain"
     return live.groupBy(key).agg(
         listed(user & (F.col("role") == "owner"), mail).alias("owners"),
-        listed(user & (F.col("role") != "owner"), mail).alias("readers"),
+        listed(user & F.col("role").isin(*READ_ROLES), mail).alias("readers"),
         listed(F.col("type") == "group", mail).alias("groups"),
-        listed(F.col("type") == "domain", F.lower("domain")).alias("domains"),
+        listed(domains, domain).alias("domains"),
         F.coalesce(F.bool_or(F.col("type") == "anyone"), F.lit(False)).alias("is_public"),
+        F.coalesce(F.bool_or(domains & domain.isNotNull()), F.lit(False)).alias("is_org_wide"),
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ast
 import re
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,10 +11,123 @@ from pyspark.sql import functions as F
 from corpusloom.session import cut_lineage
 
 
+_TOKEN = re.compile(r"""\s*(?:(?P<text>'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")|(?P<name>`[^`]+`|[^\W\d]\w*)|(?P<number>\d+(?:\.\d*)?(?:[eE][+-]?\d+)?)|(?P<op>==|!=|<=|>=|//|\*\*|[-+*/%<>&|~()\[\],]))""")
+_COMPARE = ("==", "!=", "<", "<=", ">", ">=")
+
+
+class _Condition:
+    """Reads a data-frame condition: or, and, not (also | & ~, which bind alike there), comparisons, membership, arithmetic."""
+
+    def __init__(self, text: str):
+        self.tokens, self.at, end = [], 0, 0
+        while text[end:].strip():
+            m = _TOKEN.match(text, end)
+            if m is None:
+                raise ValueError(f"can't read {text[end:]!r}")
+            self.tokens.append((m.lastgroup, m[m.lastgroup]))
+            end = m.end()
+
+    def peek(self) -> str | None:
+        return self.tokens[self.at][1] if self.at < len(self.tokens) else None
+
+    def take(self, *wanted: str) -> str | None:
+        if self.peek() in wanted and self.tokens[self.at][0] != "text":
+            self.at += 1
+            return self.tokens[self.at - 1][1]
+        return None
+
+    def whole(self) -> str:
+        out = self.any_of()
+        if self.peek() is not None:
+            raise ValueError(f"can't read from {self.peek()!r} on")
+        return out
+
+    def any_of(self) -> str:
+        parts = [self.all_of()]
+        while self.take("or", "|"):
+            parts.append(self.all_of())
+        return parts[0] if len(parts) == 1 else "(" + " OR ".join(parts) + ")"
+
+    def all_of(self) -> str:
+        parts = [self.negated()]
+        while self.take("and", "&"):
+            parts.append(self.negated())
+        return parts[0] if len(parts) == 1 else "(" + " AND ".join(parts) + ")"
+
+    def negated(self) -> str:
+        if self.take("not", "~"):
+            return f"NOT {self.negated()}"
+        return self.compared()
+
+    def compared(self) -> str:
+        left, parts = self.sum(), []
+        while True:
+            if self.take("not"):
+                if not self.take("in"):
+                    raise ValueError("'not' without 'in'")
+                right = self.listed()
+                parts.append(f"NOT coalesce({left} IN ({right}), false)")
+            elif self.take("in"):
+                right = self.listed()
+                parts.append(f"coalesce({left} IN ({right}), false)")
+            elif op := self.take(*_COMPARE):
+                if op in ("==", "!=") and self.peek() == "[":
+                    right = self.listed()
+                    parts.append(f"{'NOT ' if op == '!=' else ''}coalesce({left} IN ({right}), false)")
+                else:
+                    right = self.sum()
+                    # a null is unequal to anything, and else no comparison with it holds
+                    parts.append(f"coalesce({left} <> {right}, true)" if op == "!=" else f"coalesce({left} {'=' if op == '==' else op} {right}, false)")
+            else:
+                return left if not parts else parts[0] if len(parts) == 1 else "(" + " AND ".join(parts) + ")"
+            left = right
+
+    def listed(self) -> str:
+        if not self.take("["):
+            raise ValueError("a list was expected")
+        out = []
+        while not self.take("]"):
+            out.append(self.sum())
+            self.take(",")
+        return ", ".join(out) or "NULL"
+
+    def sum(self) -> str:
+        out = self.atom()
+        while op := self.take("+", "-", "*", "/", "%"):
+            out = f"{out} {op} {self.atom()}"
+        return out
+
+    def atom(self) -> str:
+        if self.take("-"):
+            return f"-{self.atom()}"
+        if self.take("("):
+            inner = self.any_of()
+            if not self.take(")"):
+                raise ValueError("a bracket isn't closed")
+            return f"({inner})"
+        if self.at >= len(self.tokens):
+            raise ValueError("the condition ends too early")
+        kind, text = self.tokens[self.at]
+        self.at += 1
+        if kind == "text":
+            value = ast.literal_eval(text)
+            return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        if kind == "op":
+            raise ValueError(f"{text!r} isn't a value")
+        return {"True": "true", "False": "false", "None": "NULL"}.get(text, text)
+
+
 def condition(text: str) -> str:
-    """A data-frame condition as SQL: '==' to '=', and a null is unequal to anything."""
-    out = re.sub(r"(`?\w+`?)\s*!=\s*('(?:[^']*)'|\"(?:[^\"]*)\"|[\w.]+)", r"(\1 IS NULL OR \1 <> \2)", text)
-    return re.sub(r'"([^"]*)"', r"'\1'", out.replace("==", "=").replace("&", " AND ").replace("|", " OR "))
+    """A data-frame condition as SQL. Texts stay as they are; a null is unequal to anything, and any other comparison with it is false."""
+    return _Condition(text).whole()
+
+
+def equality(text: str) -> Column:
+    """The one condition a hub scan takes: `column = 'value'`; anything else is an error."""
+    m = re.fullmatch(r"\s*(\w+)\s*=\s*'([^']*)'\s*", text)
+    if m is None:
+        raise ValueError(f"not of the form column = 'value': {text!r}")
+    return F.col(m[1]).cast("string") == m[2]
 
 
 def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -23,8 +137,9 @@ def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
 
 
 def group_id(*columns: Column) -> Column:
-    """Key parts joined by ' - ', without empty ones."""
-    return F.array_join(F.filter(F.array(*[c.cast("string") for c in columns]), lambda x: x != ""), " - ")
+    """Key parts joined by ' - ', without those that count as nothing: empty texts, zeros, false."""
+    kept = [F.when(~c.cast("string").isin("", "0", "0.0", "false"), c.cast("string")) for c in columns]
+    return F.concat_ws(" - ", *kept)
 
 
 def group_documents(df: DataFrame, keys: list[str], order: str, texts: list[str], metadata: list[str], title: str | None = None) -> DataFrame:

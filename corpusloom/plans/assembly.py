@@ -112,11 +112,11 @@ def table_rows_in_chunks(spark, folder):
 
 
 @query(
-    """WITH d AS (SELECT doc_id, coalesce(title, '') AS a, text AS b FROM documents WHERE length(text) > 3000 AND length(text) > length(coalesce(title, '')))
+    """WITH d AS (SELECT doc_id, coalesce(title, '') AS a, text AS b FROM documents WHERE length(text) > length(coalesce(title, '')))
 SELECT doc_id, k::BIGINT AS row_no, CASE WHEN k = 0 THEN a ELSE '' END AS first_cell, md5(substring(b, k * s + 1, s)) AS second_cell FROM (SELECT *, greatest(100, 2000 - length(a)) AS s FROM d), LATERAL (SELECT unnest(range(0, ((length(b) + s - 1) // s)::BIGINT)) AS k)"""
 )
 def oversized_rows(spark, folder):
-    rows = table(spark, folder, "documents").where("length(text) > 3000 and length(text) > length(coalesce(title, ''))")
+    rows = table(spark, folder, "documents").where("length(text) > length(coalesce(title, ''))")
     cells = F.array(F.coalesce("title", F.lit("")), F.col("text"))
     out = rows.select("doc_id", F.posexplode(split.split_row(cells, 2000)).alias("row_no", "r"))
     return out.select("doc_id", F.col("row_no").cast("long").alias("row_no"), F.col("r")[0].alias("first_cell"), F.md5(F.col("r")[1]).alias("second_cell"))
@@ -208,6 +208,15 @@ def select_condition(spark, folder):
     return table(spark, folder, "customer").where(tabular.condition("c_mktsegment == 'BUILDING' and c_acctbal > 100 and c_nationkey != 3")).select("c_custkey", "c_name")
 
 
+@query(
+    """SELECT elem_id FROM page_elements WHERE (content IS NULL OR content <> 'R&D | a == b') AND (coalesce(element_type IN ('image', 'a|b'), false) OR NOT coalesce(page >= 2, false)) AND coalesce(content <> '' OR content IS NULL, true) AND NOT coalesce(content = 'it''s "so"', false)"""
+)
+def quoted_condition(spark, folder):
+    """Operators inside texts are text; comparisons with null are false, so their negation holds."""
+    said = """content != 'R&D | a == b' & (element_type in ['image', 'a|b'] | not page >= 2) and content != "" and ~(content == 'it\\'s "so"')"""
+    return table(spark, folder, "page_elements").where(tabular.condition(said)).select("elem_id")
+
+
 @query("SELECT entry_id, source, batch_no::VARCHAR AS batch_no, last_updated FROM manifest")
 def cast_columns(spark, folder):
     """A column is cast only if all its values can be: last_updated stays text."""
@@ -230,10 +239,17 @@ def markdown_tables(spark, folder):
     return rows.select("row_no", F.array_join("c", ",").alias("cells"))
 
 
-@query("SELECT doc_id, count(*)::BIGINT AS n, count(*) FILTER (element_type = 'table')::BIGINT AS n_tables, count(*) FILTER (element_type = 'image')::BIGINT AS n_images FROM page_elements GROUP BY doc_id")
+@query("SELECT doc_id, element_type, count(*)::BIGINT AS n FROM page_elements GROUP BY ALL")
 def element_histogram(spark, folder):
-    kind = F.col("element_type")
-    return table(spark, folder, "page_elements").groupBy("doc_id").agg(F.count("*").alias("n"), F.count_if(kind == "table").alias("n_tables"), F.count_if(kind == "image").alias("n_images"))
+    """How many elements of each kind a page has, whatever kinds there are."""
+    return table(spark, folder, "page_elements").groupBy("doc_id", "element_type").agg(F.count("*").alias("n"))
+
+
+@query("SELECT o_orderkey, concat_ws(' - ', nullif((o_orderkey % 5)::VARCHAR, '0'), nullif((o_custkey % 3)::VARCHAR, '0'), nullif(CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE o_orderstatus END, '')) AS id FROM orders")
+def joined_ids(spark, folder):
+    """Ids out of key parts: zeros and empty texts count for nothing."""
+    status = F.when(F.col("o_orderkey") % 2 == 0, "").otherwise(F.col("o_orderstatus"))
+    return table(spark, folder, "orders").select("o_orderkey", tabular.group_id(F.col("o_orderkey") % 5, F.col("o_custkey") % 3, status).alias("id"))
 
 
 @query("SELECT doc_id, page, elem_id, (row_number() OVER (PARTITION BY doc_id, page ORDER BY position, elem_id) * 10)::BIGINT AS step FROM page_elements")

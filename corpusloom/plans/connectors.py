@@ -62,15 +62,9 @@ def discovered_sitemaps(spark, folder):
     return spark.sql(f"SELECT {_ROBOTS} AS r").select(F.explode(F.array_distinct(html.robots_sitemaps(F.col("r")))).alias("url"))
 
 
-@query("SELECT 'https://' || site || '/' || doc_id AS loc, min(updated_at) AS lastmod FROM (SELECT site, doc_id, updated_at FROM documents WHERE site IS NOT NULL AND regexp_matches(updated_at, '^\\d{4}-\\d{2}-\\d{2}$')) GROUP BY 1")
+@query("SELECT 'https://' || site || '/' || doc_id AS loc, nullif(trim(updated_at), '') AS lastmod FROM documents WHERE site IS NOT NULL")
 def sitemap_walk(spark, folder):
     """Sitemaps of each site, made of its documents, read back as (loc, lastmod)."""
-    return _walked(table(spark, folder, "documents").where(F.col("site").isNotNull() & F.col("updated_at").rlike(r"^\d{4}-\d{2}-\d{2}\z")))
-
-
-@query()
-def all_sitemap_walk(spark, folder):
-    """The same of every document of a site, whatever the spelling of its date, also without one."""
     return _walked(table(spark, folder, "documents").where(F.col("site").isNotNull()))
 
 
@@ -193,10 +187,10 @@ def _page_html():
 _BODY = "replace(regexp_replace(replace(replace(text, '<', ' '), '&', ' '), '^[\\t-\\r \\x1c-\\x1f\\x{85}\\x{A0}]+|[\\t-\\r \\x1c-\\x1f\\x{85}\\x{A0}]+$', '', 'g'), chr(10), ' ')"
 
 
-@query(f"SELECT doc_id, md5(coalesce(trim(title), 'Untitled') || ' ' || {_BODY} || ' more') AS plain FROM documents WHERE text IS NOT NULL AND NOT contains(text, chr(13))")
+@query(f"SELECT doc_id, md5(coalesce(trim(title), 'Untitled') || ' ' || {_BODY} || ' more') AS plain FROM documents WHERE text IS NOT NULL ")
 def html_texts(spark, folder):
     out = html.html_to_text(_page_html(), remove_code=True, ids=("ad",), tags=("nav",), classes=("note",))
-    return table(spark, folder, "documents").where("text is not null and not contains(text, chr(13))").select("doc_id", F.md5(out).alias("plain"))
+    return table(spark, folder, "documents").where("text is not null").select("doc_id", F.md5(out).alias("plain"))
 
 
 @query("SELECT doc_id, coalesce(trim(title), 'Untitled') AS title, 'https://x.example/a b' AS links, 0 AS n_tables FROM documents WHERE text IS NOT NULL")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import dates, text, urls
 from corpusloom.operators import graph, incremental, relational, tracking
+from corpusloom.plans.scalars import instant_sql
 from corpusloom.sources.tables import table
 
 QUERIES, SQL = {}, {}
@@ -41,19 +42,11 @@ def fingerprints(spark, folder):
     return _fingerprinted(spark, folder).select("doc_id", "fingerprint")
 
 
-@query("SELECT doc_id AS key, max_by(entry_id, entry_id) AS entry_id, max_by(coalesce(content_hash, ''), entry_id) AS content_hash FROM manifest WHERE source = 'site-handbook' AND coalesce(doc_id, '') <> '' GROUP BY doc_id")
+@query("SELECT source, doc_id AS key, max(entry_id) AS entry_id, max_by(coalesce(content_hash, ''), entry_id) AS content_hash FROM manifest WHERE coalesce(doc_id, '') <> '' GROUP BY ALL")
 def manifest_by_id(spark, folder):
-    """The manifest of one source; of entries listed more than once the last counts."""
-    listed = table(spark, folder, "manifest")
-    held = incremental.manifest(listed, "entry_id", "id", "site-handbook")
-    return held.join(listed.where("source = 'site-handbook'").groupBy(F.col("doc_id").alias("key")).agg(F.max("entry_id").alias("entry_id")), "key").select("key", "entry_id", F.coalesce("content_hash", F.lit("")).alias("content_hash"))
-
-
-@query()
-def all_manifest_by_id(spark, folder):
-    """The same of every source; an id counts within its source."""
-    listed = table(spark, folder, "manifest").where("doc_id is not null and doc_id <> ''")
-    last = listed.groupBy("source", F.col("doc_id").alias("key")).agg(F.max_by(F.struct("entry_id", "content_hash"), "entry_id").alias("e"))
+    """The last entry of each id in each source."""
+    rows = table(spark, folder, "manifest").where("doc_id is not null and doc_id <> ''")
+    last = rows.groupBy("source", F.col("doc_id").alias("key")).agg(F.max_by(F.struct("entry_id", "content_hash"), "entry_id").alias("e"))
     return last.select("source", "key", "e.entry_id", F.coalesce("e.content_hash", F.lit("")).alias("content_hash"))
 
 
@@ -109,28 +102,13 @@ def refused_deletions(spark, folder):
     return _deletions(spark, folder, "batch_no = 1", 0.5)
 
 
-@query(
-    """SELECT entry_id, coalesce(config_sig = '8871c275b1e6b365' AND sitemap_lastmod <> '' AND NOT (TRY_CAST(sitemap_lastmod AS DATE) < DATE '2020-06-01'), false) AS skipped FROM manifest WHERE sitemap_lastmod IS NULL OR regexp_matches(sitemap_lastmod, '^\\d{4}-\\d{2}-\\d{2}$')"""
-)
+@query(f"SELECT entry_id, coalesce(config_sig = '8871c275b1e6b365' AND sitemap_lastmod <> '' AND NOT coalesce(1590969600000000 > {instant_sql('sitemap_lastmod')}, true), false) AS skipped FROM manifest")
 def skipped_before_fetch(spark, folder):
-    """A listing dated 2020-06-01 against what was stored: older stored signals and other settings are fetched."""
-    rows = table(spark, folder, "manifest").where(F.col("sitemap_lastmod").isNull() | F.col("sitemap_lastmod").rlike(r"^\d{4}-\d{2}-\d{2}\z"))
-    readable = F.col("sitemap_lastmod").isNull() | F.col("sitemap_lastmod").try_cast("date").isNotNull()
-    skipped = incremental.unchanged_before_fetch(F.col("config_sig"), "8871c275b1e6b365", F.col("sitemap_lastmod"), F.lit("2020-06-01"))
-    return rows.where(readable).select("entry_id", skipped.alias("skipped"))
-
-
-@query()
-def all_skipped_before_fetch(spark, folder):
-    """The same of every entry, whatever the spelling of its date; unreadable ones are fetched."""
+    """A listing dated 2020-06-01 against what was stored: older and unreadable stored signals and other settings are fetched."""
     skipped = incremental.unchanged_before_fetch(F.col("config_sig"), "8871c275b1e6b365", F.col("sitemap_lastmod"), F.lit("2020-06-01"))
     return table(spark, folder, "manifest").select("entry_id", skipped.alias("skipped"))
 
 
-SQL["skipped_before_fetch"] += " AND (sitemap_lastmod IS NULL OR TRY_CAST(sitemap_lastmod AS DATE) IS NOT NULL)"
-SQL["skipped_before_fetch"] = SQL["skipped_before_fetch"].replace("WHERE sitemap_lastmod IS NULL OR regexp_matches(sitemap_lastmod, '^\\d{4}-\\d{2}-\\d{2}$')", "WHERE (sitemap_lastmod IS NULL OR regexp_matches(sitemap_lastmod, '^\\d{4}-\\d{2}-\\d{2}$'))")
-
-
 @query("SELECT doc_id, title FROM documents WHERE batch_no = 12 UNION ALL SELECT doc_id, title FROM documents WHERE batch_no < 12 AND doc_id NOT IN (SELECT doc_id FROM documents WHERE batch_no = 12)")
 def upserted_documents(spark, folder):
     docs = table(spark, folder, "documents")
@@ -153,21 +131,28 @@ def unfinished_documents(spark, folder):
 
 
 @query(
-    """SELECT DISTINCT m.doc_id, CASE WHEN m.doc_id IN (SELECT doc_id FROM tracker_log WHERE status = 'indexed' AND doc_id IS NOT NULL) THEN 'updated' ELSE 'new' END AS change FROM manifest m
-WHERE regexp_matches(last_updated, '^\\d{4}-\\d{2}-\\d{2}$') AND TRY_CAST(last_updated AS DATE) > DATE '2021-01-01' AND doc_id IS NOT NULL"""
+    f"""SELECT DISTINCT m.doc_id, CASE WHEN m.doc_id IN (SELECT doc_id FROM tracker_log WHERE status = 'indexed' AND doc_id IS NOT NULL) THEN 'updated' ELSE 'new' END AS change FROM manifest m
+WHERE {instant_sql('last_updated')} > 1609459200000000 AND doc_id IS NOT NULL"""
 )
 def modified_documents(spark, folder):
-    rows = table(spark, folder, "manifest").where(F.col("last_updated").rlike(r"^\d{4}-\d{2}-\d{2}\z") & F.col("doc_id").isNotNull())
+    """Whatever is dated after 2021-01-01, in any spelling that can be read."""
+    rows = table(spark, folder, "manifest").where(F.col("doc_id").isNotNull())
     indexed = table(spark, folder, "tracker_log").where("status = 'indexed' and doc_id is not null")
     return incremental.modified_within(rows, indexed, "last_updated", "2021-01-01 00:00:00").distinct()
 
 
-@query()
-def all_modified_documents(spark, folder):
-    """The same of every entry whose date can be read, whatever its spelling."""
-    rows = table(spark, folder, "manifest").where(F.col("doc_id").isNotNull())
-    indexed = table(spark, folder, "tracker_log").where("status = 'indexed' and doc_id is not null")
-    return incremental.modified_within(rows, indexed, "last_updated", "2021-01-01 00:00:00").distinct()
+_LISTED = "SELECT DISTINCT doc_key FROM documents WHERE batch_no > 3 AND doc_key IS NOT NULL"
+
+
+@query(
+    f"""WITH m AS (SELECT DISTINCT doc_id FROM manifest WHERE {instant_sql('last_updated')} > 1609459200000000 AND doc_id IS NOT NULL), i AS (SELECT DISTINCT doc_id FROM tracker_log WHERE status = 'indexed' AND doc_id IS NOT NULL)
+SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM i) THEN 'updated' ELSE 'new' END AS change FROM m UNION ALL SELECT doc_id, 'removed' FROM i WHERE doc_id NOT IN ({_LISTED})"""
+)
+def windowed_changes(spark, folder):
+    """The changes of a window, and what is indexed but not listed any more; the latter only if the listing is complete."""
+    indexed = table(spark, folder, "tracker_log").where("status = 'indexed' and doc_id is not null").select("doc_id").distinct()
+    listed = table(spark, folder, "documents").where("batch_no > 3 and doc_key is not null").select(F.col("doc_key").alias("doc_id")).distinct()
+    return modified_documents(spark, folder).unionByName(incremental.removed(indexed, listed, "doc_id", listing_complete=True))
 
 
 @query("SELECT crawler_type, source, CASE WHEN crawler_type = 'docs' THEN 'portal' WHEN crawler_type = 's3' THEN 'S3' ELSE crawler_type END AS tag FROM sources")
@@ -253,21 +238,21 @@ def overridden_by_sidecar(spark, folder):
     return relational.override(base, sidecar, "doc_id", ["title"]).select("entry_id", "title")
 
 
-_IMAGES = "SELECT doc_id, image_id AS a FROM page_elements WHERE image_id IS NOT NULL"
+_IMAGES = "SELECT doc_id, image_id AS a, elem_id FROM page_elements WHERE image_id IS NOT NULL"
 
 
 @query(
-    f"""WITH l AS (SELECT DISTINCT doc_id, a FROM ({_IMAGES})), r AS (SELECT DISTINCT doc_id, left(a, length(a) - 1) AS b FROM l UNION SELECT doc_id, a FROM l WHERE length(a) % 2 = 0)
-SELECT l.doc_id, a, min({{'x': a <> b, 'b': b}}).b AS b FROM l JOIN r ON l.doc_id = r.doc_id WHERE a = b OR contains(a, b) OR contains(b, a) GROUP BY ALL"""
+    f"""WITH l AS (SELECT doc_id, a, min(elem_id) AS p FROM ({_IMAGES}) GROUP BY ALL), r AS (SELECT doc_id, left(a, length(a) - 1) AS b, p FROM l UNION SELECT doc_id, a, p FROM l WHERE length(a) % 2 = 0)
+SELECT l.doc_id, a, min_by(b, CASE WHEN a = b THEN (0, 0, '') ELSE (1, r.p, b) END) AS b FROM l JOIN r ON l.doc_id = r.doc_id WHERE a = b OR contains(a, b) OR contains(b, a) GROUP BY ALL"""
 )
 def matched_pictures(spark, folder):
-    """Picture ids against names that are cut short or equal, within each page."""
-    left = table(spark, folder, "page_elements").where("image_id is not null").select("doc_id", F.col("image_id").alias("a")).distinct()
-    right = left.selectExpr("doc_id", "left(a, length(a) - 1) AS b").union(left.where("length(a) % 2 = 0").selectExpr("doc_id", "a")).distinct()
-    return relational.matched_by_containment(left, right, "doc_id", "a", "b").select("doc_id", "a", "b")
+    """Picture ids against names that are cut short or equal, within each page: an equal one, else the first stored."""
+    left = table(spark, folder, "page_elements").where("image_id is not null").groupBy("doc_id", F.col("image_id").alias("a")).agg(F.min("elem_id").alias("p"))
+    right = left.selectExpr("doc_id", "left(a, length(a) - 1) AS b", "p").union(left.where("length(a) % 2 = 0").selectExpr("doc_id", "a", "p"))
+    return relational.matched_by_containment(left, right, "doc_id", "a", "b", "p").select("doc_id", "a", "b")
 
 
-_PERMISSIONS = """SELECT rec_id, unnest(from_json(json_extract_string(payload, '$.metadata.permissions')::JSON, '[{"id":"VARCHAR","type":"VARCHAR","role":"VARCHAR","emailAddress":"VARCHAR","domain":"VARCHAR","deleted":"BOOLEAN"}]')) AS p FROM (SELECT rec_id, ltrim(payload, chr(65279)) AS payload FROM raw_records) WHERE json_valid(payload) AND json_extract_string(payload, '$.metadata.permissions') LIKE '[%'"""
+_PERMISSIONS = """SELECT rec_id, unnest(l) AS p, generate_subscripts(l, 1) AS pos FROM (SELECT rec_id, from_json(json_extract_string(payload, '$.metadata.permissions')::JSON, '[{"id":"VARCHAR","type":"VARCHAR","role":"VARCHAR","emailAddress":"VARCHAR","domain":"VARCHAR","deleted":"BOOLEAN"}]') AS l FROM (SELECT rec_id, ltrim(payload, chr(65279)) AS payload FROM raw_records) WHERE json_valid(payload) AND json_extract_string(payload, '$.metadata.permissions') LIKE '[%')"""
 
 
 def _permissions(spark, folder):
@@ -279,17 +264,18 @@ def _permissions(spark, folder):
 
 
 @query(
-    f"""WITH q AS ({_PERMISSIONS}), f AS (SELECT rec_id, p.type AS type, p.role AS role, lower(p.emailAddress) AS mail, lower(p.domain) AS dom FROM q WHERE p IS NOT NULL AND NOT coalesce(p.deleted, false))
-SELECT rec_id, coalesce(string_agg(DISTINCT mail, ',' ORDER BY mail) FILTER (type = 'user' AND role = 'owner'), '') AS owners, coalesce(string_agg(DISTINCT mail, ',' ORDER BY mail) FILTER (type = 'user' AND role <> 'owner'), '') AS readers,
-coalesce(string_agg(DISTINCT mail, ',' ORDER BY mail) FILTER (type = 'group'), '') AS groups, coalesce(string_agg(DISTINCT dom, ',' ORDER BY dom) FILTER (type = 'domain'), '') AS domains, coalesce(bool_or(type = 'anyone'), false) AS is_public FROM f GROUP BY 1"""
+    f"""WITH q AS ({_PERMISSIONS}), k AS (SELECT * FROM q WHERE p IS NOT NULL QUALIFY p.id IS NULL OR p.id = '' OR row_number() OVER (PARTITION BY rec_id, p.id ORDER BY pos) = 1),
+f AS (SELECT rec_id, p.type AS type, p.role AS role, nullif(lower(p.emailAddress), '') AS mail, nullif(lower(p.domain), '') AS dom FROM k WHERE NOT coalesce(p.deleted, false))
+SELECT rec_id, coalesce(string_agg(DISTINCT mail, ',' ORDER BY mail) FILTER (type = 'user' AND role = 'owner'), '') AS owners, coalesce(string_agg(DISTINCT mail, ',' ORDER BY mail) FILTER (type = 'user' AND role IN ('reader', 'commenter', 'writer', 'fileOrganizer', 'organizer')), '') AS readers,
+coalesce(string_agg(DISTINCT mail, ',' ORDER BY mail) FILTER (type = 'group'), '') AS groups, coalesce(string_agg(DISTINCT dom, ',' ORDER BY dom) FILTER (type = 'domain'), '') AS domains, coalesce(bool_or(type = 'anyone'), false) AS is_public, coalesce(bool_or(type = 'domain' AND dom IS NOT NULL), false) AS is_org_wide FROM f GROUP BY 1"""
 )
 def access_lists(spark, folder):
-    return relational.access_lists(_permissions(spark, folder), "rec_id")
+    return relational.access_lists(_permissions(spark, folder), "rec_id", "pos")
 
 
 @query(
-    f"""WITH q AS ({_PERMISSIONS}), o AS (SELECT rec_id, p.type AS type, p.id AS id, p.role AS role FROM q WHERE p IS NOT NULL AND p.id IS NOT NULL), i AS (SELECT DISTINCT rec_id, 'domain' AS type, id, 'inherited' AS role FROM o WHERE type = 'domain')
-SELECT rec_id, type, id, max(role) FILTER (r = m) AS role FROM (SELECT *, min(r) OVER (PARTITION BY rec_id, type, id) AS m FROM (SELECT *, 0 AS r FROM i UNION ALL SELECT *, 1 AS r FROM o)) GROUP BY 1, 2, 3 HAVING count(*) FILTER (r = m) = 1"""
+    f"""WITH q AS ({_PERMISSIONS}), o AS (SELECT rec_id, p.type AS type, p.id AS id, p.role AS role, pos FROM q WHERE p IS NOT NULL AND p.id IS NOT NULL), i AS (SELECT DISTINCT rec_id, 'domain' AS type, id, 'inherited' AS role, 0 AS pos FROM o WHERE type = 'domain')
+SELECT rec_id, type, id, min_by({{'x': role}}, (r, pos)).x AS role FROM (SELECT *, 0 AS r FROM i UNION ALL SELECT *, 1 AS r FROM o) GROUP BY 1, 2, 3"""
 )
 def merged_permissions(spark, folder):
     own = _permissions(spark, folder).where("id is not null").select("rec_id", "type", "id", "role", "pos")
@@ -381,16 +367,9 @@ def inherited_paths(spark, folder):
     return graph.inherited(nodes, "doc_id", "parent_doc_id", "source")
 
 
-@query("SELECT entry_id, coalesce(TRY_CAST(last_updated AS DATE) BETWEEN DATE '2019-01-01' AND DATE '2021-12-31', true) AS kept FROM manifest WHERE last_updated IS NULL OR regexp_matches(last_updated, '^\\d{4}-\\d{2}-\\d{2}$')")
+@query(f"SELECT entry_id, coalesce({instant_sql('last_updated')} BETWEEN 1546300800000000 AND 1640995199000000, true) AS kept FROM manifest")
 def kept_by_date(spark, folder):
     """Null and unreadable dates are kept."""
-    rows = table(spark, folder, "manifest").where(F.col("last_updated").isNull() | F.col("last_updated").rlike(r"^\d{4}-\d{2}-\d{2}\z"))
-    return rows.select("entry_id", dates.in_range(F.col("last_updated"), "2019-01-01", "2021-12-31").alias("kept"))
-
-
-@query()
-def all_kept_by_date(spark, folder):
-    """The same of every entry, whatever the spelling of its date."""
     return table(spark, folder, "manifest").select("entry_id", dates.in_range(F.col("last_updated"), "2019-01-01", "2021-12-31").alias("kept"))
 
 

@@ -26,6 +26,22 @@ def query(sql: str | None = None):
     return take
 
 
+def instant_sql(c: str) -> str:
+    """parse_instant in DuckDB's SQL."""
+    v = f"regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
+    zone = f"upper(regexp_extract({v}, '([A-Za-z]+)$', 1))"
+    offsets = " ".join(f"WHEN '{name}' THEN '{offset}'" for name, offset in dates.ZONES.items())
+    bare = f"regexp_replace({v}, '^[A-Za-z]{{3}},\\s*', '')"
+    text = f"CASE WHEN {zone} = '' THEN {bare} ELSE regexp_replace({bare}, '\\s*[A-Za-z]+$', '') || ' ' || CASE {zone} {offsets} END END"
+    iso = f"regexp_replace(regexp_replace(upper({v}), '\\s*(Z|[+-]\\d{{2}}:?\\d{{2}})$', '\\1'), '([+-]\\d{{2}}):?(\\d{{2}})$', '\\1:\\2')"
+    return (
+        f"CASE WHEN regexp_matches({v}, '^\\d{{5,}}(\\.\\d+)?$') THEN TRY_CAST(round(TRY_CAST({v} AS DOUBLE) * 1000000) AS BIGINT) "
+        f"WHEN regexp_matches({v}, '^\\d{{4}}-\\d{{2}}-\\d{{2}}$') THEN epoch_us(TRY_CAST({v} AS TIMESTAMP)) "
+        f"WHEN regexp_matches({v}, '^\\d{{4}}-\\d{{2}}-\\d{{2}}[T ]\\d{{2}}:\\d{{2}}(:\\d{{2}}([.]\\d{{1,9}})?)?\\s*(Z|z|[+-]\\d{{2}}:?\\d{{2}})?$') THEN epoch_us(TRY_CAST({iso} AS TIMESTAMPTZ)) "
+        f"WHEN regexp_matches({v}, '^([A-Za-z]{{3}},\\s*)?\\d{{1,2}} [A-Z][a-z]{{2}} \\d{{4}} \\d{{2}}:\\d{{2}}:\\d{{2}} ([+-]\\d{{4}}|[A-Za-z]{{1,4}})$') THEN epoch_us(try_strptime({text}, '%d %b %Y %H:%M:%S %z')) END"
+    )
+
+
 def inline(spark: SparkSession, values: str, names: str) -> DataFrame:
     """A small fixture, written as VALUES in both engines."""
     return spark.sql(f"SELECT * FROM VALUES {values} AS t({names})")
@@ -164,19 +180,9 @@ def clock_seconds(spark, folder):
     return inline(spark, _CLOCK, "v").select("v", dates.clock_seconds(F.col("v")).alias("seconds"))
 
 
-@query(
-    """WITH v AS (SELECT entry_id, trim(sitemap_lastmod) AS v FROM manifest WHERE regexp_matches(trim(sitemap_lastmod), '^\\d{4}-\\d{2}-\\d{2}(T\\d{2}:\\d{2}:\\d{2}(Z|[+-]\\d{2}:\\d{2})?)?$|^\\d{10}$'))
-SELECT entry_id, CASE WHEN regexp_matches(v, '^\\d{10}$') THEN v::BIGINT * 1000000 ELSE epoch_us(TRY_CAST(left(v, 19) AS TIMESTAMP)) - CASE WHEN length(v) = 25 THEN (CASE WHEN v[20] = '-' THEN -1 ELSE 1 END) * (v[21:22]::BIGINT * 60 + v[24:25]::BIGINT) * 60000000 ELSE 0 END END AS us FROM v"""
-)
+@query(f"SELECT entry_id, {instant_sql('sitemap_lastmod')} AS us FROM manifest WHERE sitemap_lastmod IS NOT NULL")
 def parsed_instants(spark, folder):
-    v = F.trim("sitemap_lastmod")
-    rows = table(spark, folder, "manifest").where(v.rlike(r"^\d{4}-\d{2}-\d{2}(T\d{2}:\d{2}:\d{2}(Z|[+-]\d{2}:\d{2})?)?\z|^\d{10}\z"))
-    return rows.select("entry_id", dates.parse_instant(v).alias("us"))
-
-
-@query()
-def all_parsed_instants(spark, folder):
-    """The same of every entry with a date, null where it can't be read."""
+    """Every entry with a date, null where it can't be read."""
     return table(spark, folder, "manifest").where("sitemap_lastmod is not null").select("entry_id", dates.parse_instant(F.col("sitemap_lastmod")).alias("us"))
 
 
@@ -303,11 +309,11 @@ def size_limits(spark, folder):
     return inline(spark, _MAX, "v").select("v", dates.size_megabytes(F.col("v")).alias("megabytes"))
 
 
-@query("SELECT entry_id, regexp_extract('A document with id ''' || doc_id || ''' exists', 'document with id ''([^'']+)''', 1) AS conflicting FROM manifest WHERE doc_id NOT LIKE '%''%'")
+@query("SELECT entry_id, regexp_extract('A document with id ''' || doc_id || ''' exists', 'document with id ''([^'']+)''', 1) AS conflicting FROM manifest")
 def conflict_ids(spark, folder):
     """The id that a store's conflict message names."""
     message = F.concat(F.lit("A document with id '"), F.col("doc_id"), F.lit("' exists"))
-    return table(spark, folder, "manifest").where("doc_id not like '%\\'%'").select("entry_id", F.regexp_extract(message, "document with id '([^']+)'", 1).alias("conflicting"))
+    return table(spark, folder, "manifest").select("entry_id", F.regexp_extract(message, "document with id '([^']+)'", 1).alias("conflicting"))
 
 
 def queries() -> dict:

@@ -29,12 +29,12 @@ def rows(spark, made, name):
 def test_every_spelling_is_looked_at(spark, made):
     known = {i: us for i, (_, us) in DATES.items()}
     since = DAY + 366 * 86_400_000_000
-    assert rows(spark, made, "all_parsed_instants") == {(i, us) for i, us in known.items() if DATES[i][0] is not None}
-    assert rows(spark, made, "all_modified_documents") == {(f"d{i}", "updated" if i == 7 else "new") for i, us in known.items() if us and us > since}
-    assert rows(spark, made, "all_kept_by_date") == {(i, us is None or us < since + 365 * 86_400_000_000) for i, us in known.items()}
+    assert rows(spark, made, "parsed_instants") == {(i, us) for i, us in known.items() if DATES[i][0] is not None}
+    assert rows(spark, made, "modified_documents") == {(f"d{i}", "updated" if i == 7 else "new") for i, us in known.items() if us and us > since}
+    assert rows(spark, made, "kept_by_date") == {(i, us is None or us < since + 365 * 86_400_000_000) for i, us in known.items()}
     # listed on 2020-06-01: skipped where what is stored is no older
-    assert rows(spark, made, "all_skipped_before_fetch") == {(i, bool(us and us > DAY + 152 * 86_400_000_000)) for i, us in known.items()}
-    assert rows(spark, made, "all_sitemap_walk") == {(f"https://a.example/{i}", d) for i, (d, _) in DATES.items()}
+    assert rows(spark, made, "skipped_before_fetch") == {(i, bool(us and us > DAY + 152 * 86_400_000_000)) for i, us in known.items()}
+    assert rows(spark, made, "sitemap_walk") == {(f"https://a.example/{i}", d) for i, (d, _) in DATES.items()}
 
 
 def test_a_permission_listed_twice_stays_once(spark, tmp_path):
@@ -46,4 +46,4 @@ def test_a_permission_listed_twice_stays_once(spark, tmp_path):
 def test_manifest_of_every_source(spark, tmp_path):
     listed = [(1, "a", "h1", "s"), (2, "a", "h2", "t"), (3, "a", None, "s"), (4, "", "h", "s"), (5, None, "h", "s")]
     spark.createDataFrame(listed, "entry_id long, doc_id string, content_hash string, source string").write.parquet(f"file://{tmp_path}/manifest.parquet")
-    assert rows(spark, f"file://{tmp_path}", "all_manifest_by_id") == {("s", "a", 3, ""), ("t", "a", 2, "h2")}
+    assert rows(spark, f"file://{tmp_path}", "manifest_by_id") == {("s", "a", 3, ""), ("t", "a", 2, "h2")}
