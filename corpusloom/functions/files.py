@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import gzip
+import zlib
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 #: Leading bytes in hexadecimal.
 MAGIC = (("FFD8FF", "image/jpeg"), ("89504E470D0A1A0A", "image/png"), ("474946383761", "image/gif"), ("474946383961", "image/gif"), ("00000100", "image/x-icon"))
@@ -74,3 +79,29 @@ def page_batches(pages: Column, size: int) -> Column:
 
 def mask_secrets(key: Column, value: Column) -> Column:
     return F.when(F.lower(key).rlike("key|secret|token|password|credential"), "***").otherwise(value)
+
+
+@F.pandas_udf(BinaryType())
+def _gunzipped(data: pd.Series) -> pd.Series:
+    def one(x):
+        try:
+            return x if x is None else gzip.decompress(x)
+        except (OSError, EOFError, zlib.error):
+            return b""
+
+    return data.map(one)
+
+
+def unpacked(url: Column, data: Column) -> Column:
+    """A download's bytes: what is named .gz is unpacked, unreadable packs are empty."""
+    return F.when(url.endswith(".gz"), _gunzipped(data)).otherwise(data)
+
+
+#: Least side of a picture in pixels: in markup, and of a file.
+LEAST_IN_MARKUP, LEAST_OF_FILE = 10, 100
+
+
+def picture_kept(name: Column, width: Column, height: Column) -> Column:
+    """Whether a picture is large enough; drawings have no pixels and always are, and so is one of unknown size."""
+    drawing = F.coalesce(F.lower(name).endswith(".svg"), F.lit(False))
+    return drawing | F.coalesce(F.least(width, height) >= LEAST_OF_FILE, F.lit(True))

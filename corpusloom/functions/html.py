@@ -253,3 +253,30 @@ def sitemap_entries(xml: Column) -> Column:
 
 def robots_sitemaps(robots: Column) -> Column:
     return F.regexp_extract_all(robots, F.lit(r"(?im)^\s*sitemap:\s*(\S+)"), 1)
+
+
+def with_markdown_links(html: Column, base: Column) -> Column:
+    """The text of a page with its links as [text](absolute URL); a link without text shows its URL, one without target only its text."""
+
+    @F.pandas_udf(StringType())
+    def run(htmls: pd.Series, bases: pd.Series) -> pd.Series:
+        def page(h: str | None, at: str | None) -> str | None:
+            if h is None:
+                return None
+            tree = parse(h)
+            for x in list(tree.walk()):
+                if isinstance(x, Node):
+                    x.children = [_linked(c, at or "") if isinstance(c, Node) and c.tag == "a" else c for c in x.children]
+            return " ".join(tree.without(lambda n: n.tag in FRAME_TAGS).text().split())
+
+        return pd.Series([page(h, b) for h, b in zip(htmls, bases, strict=True)], dtype=object)
+
+    return run(html, base)
+
+
+def _linked(a: Node, base: str) -> str:
+    said, href = a.text(""), a.attrs.get("href") or ""
+    if not href:
+        return said
+    whole = urljoin(base, href)
+    return f"[{said or whole}]({whole})"

@@ -5,7 +5,7 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -74,14 +74,14 @@ def distinct_urls(c: Column) -> Column:
 def canonical_map(m: Column) -> Column:
     """A map as one JSON text in ASCII with sorted keys and no spaces, to be hashed."""
     pairs = F.array_sort(F.map_entries(m))
-    return F.concat(F.lit("{"), F.array_join(F.transform(pairs, lambda e: F.concat(_quoted(e["key"]), F.lit(":"), F.coalesce(_quoted(e["value"]), F.lit("null")))), ","), F.lit("}"))
+    return F.concat(F.lit("{"), F.array_join(F.transform(pairs, lambda e: F.concat(quoted(e["key"]), F.lit(":"), F.coalesce(quoted(e["value"]), F.lit("null")))), ","), F.lit("}"))
 
 
 #: Characters that JSON escapes by a letter.
 _ESCAPES = (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"), ("\b", "\\b"), ("\f", "\\f"))
 
 
-def _quoted(c: Column) -> Column:
+def quoted(c: Column) -> Column:
     """A JSON string in ASCII: other characters as their UTF-16 units. Plain strings don't take that way."""
     out = c
     for plain, escaped in _ESCAPES:
@@ -105,3 +105,37 @@ def nfd(values: pd.Series) -> pd.Series:
 @F.pandas_udf(StringType())
 def nfc(values: pd.Series) -> pd.Series:
     return values.map(lambda x: x if x is None else unicodedata.normalize("NFC", x))
+
+
+def normalised(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Strings in canonical decomposition, all of them or the named ones; columns of other types stay as they are."""
+    strings = [c for c, kind in df.dtypes if kind == "string" and (columns is None or c in columns)]
+    return df.withColumns({c: nfd(F.col(f"`{c}`")) for c in strings})
+
+
+def long_enough(c: Column, least: int = 3) -> Column:
+    """Whether a text is worth a document: null never is."""
+    return F.coalesce(F.length(c) >= least, F.lit(False))
+
+
+def title_case(c: Column) -> Column:
+    """Every run of letters with a capital at its head, whatever stands before it."""
+    runs = F.regexp_extract_all(F.lower(c), F.lit(r"(\p{L}+|\P{L}+)"), F.lit(1))
+    return F.array_join(F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)), F.substring(r, F.lit(2), F.length(r)))), "")
+
+
+def document_title(metadata: Column, element: Column, path: Column) -> Column:
+    """The title that the metadata has, else that of the first title element, else the file's stem in words."""
+    stem = F.regexp_replace(F.regexp_replace(F.regexp_extract(path, r"([^/]+)/*$", 1), r"(.)\.[^.]*$", "$1"), "[_-]", " ")
+    blank = lambda x: F.nullif(F.trim(x), F.lit(""))
+    return F.coalesce(blank(metadata), blank(element), title_case(stem))
+
+
+def markdown_html(c: Column) -> Column:
+    """Markdown's headings, paragraphs, emphasis, code and links as HTML, by patterns: enough for the text extractors."""
+    out = F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    for n in range(6, 0, -1):
+        out = F.regexp_replace(out, rf"(?m)^{'#' * n}[ \t]+(.*)$", f"<h{n}>$1</h{n}>")
+    out = F.regexp_replace(out, r"\[([^\]\n]+)\]\(([^)\s]+)\)", '<a href="$2">$1</a>')
+    out = F.regexp_replace(F.regexp_replace(F.regexp_replace(out, r"\*\*([^*\n]+)\*\*", "<b>$1</b>"), r"`([^`\n]+)`", "<code>$1</code>"), r"(?m)^[-*] (.*)$", "<li>$1</li>")
+    return F.array_join(F.transform(F.split(out, r"\n\s*\n"), lambda p: F.when(p.rlike("^<(h[1-6]|li)>"), p).otherwise(F.concat(F.lit("<p>"), p, F.lit("</p>")))), "\n")

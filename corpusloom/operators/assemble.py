@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.functions.text import slug
 from corpusloom.operators.split import stripped
 
 
-def assemble(sections: DataFrame, key: str, order: str, keep_empty: bool = False) -> DataFrame:
+def assemble(sections: DataFrame, key: str, order: str, keep_empty: bool = False, normalise: Callable[[Column], Column] | None = None) -> DataFrame:
     """One row a document: its sections in order (text, title, metadata), and its text. Documents without text are dropped.
 
+    normalise: what is done to every text and title before.
+
     sections: key, order, text, title, metadata. One shuffle by the key; sections are sorted inside the group.
     """
+    if normalise:
+        sections = sections.withColumns({c: normalise(F.col(c)) for c in ("text", "title")})
     docs = sections.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(F.col(order).alias("k"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("title", F.lit("")).alias("title"), F.map_entries("metadata").alias("metadata")))).alias("sections"))
     docs = docs.withColumn("full_text", F.array_join(F.transform("sections", lambda s: s["text"]), "\n"))
     return docs if keep_empty else docs.where(stripped(F.array_join(F.transform("sections", lambda s: s["text"]), "")) != "")
@@ -38,12 +45,14 @@ def numbered_tables(summaries: Column) -> Column:
     return F.filter(all_, lambda t: F.coalesce(F.trim(t["description"]), F.lit("")) != "")
 
 
-def picture_context(elements: DataFrame, doc: str, order: list[str], kind: str, content: str, before: int = 1, after: int = 1, limit: int = 1_500) -> DataFrame:
+def picture_context(elements: DataFrame, doc: str, order: list[str], kind: str, content: str, before: int = 1, after: int = 1, limit: int = 1_500, text: Callable[[Column], Column] | None = None) -> DataFrame:
     """Every picture with the last `before` and next `after` texts around it, joined by a space, cut at `limit` with dots.
 
     Running counts number the texts of a document; a picture's neighbours are those with the next lower and higher numbers, so no
-    unbounded list is carried along.
+    unbounded list is carried along. text: what is taken of a text element's content.
     """
+    if text:
+        elements = elements.withColumn(content, F.when(F.col(kind) == "text", text(F.col(content))).otherwise(F.col(content)))
     is_text = (F.col(kind) == "text") & (F.trim(F.col(content)) != "")
     at = Window.partitionBy(doc).orderBy(*order)
     numbered = elements.select("*", F.count(F.when(is_text, 1)).over(at).alias("_n"))
@@ -92,3 +101,23 @@ def merge_gaps(segments: Column, threshold: float, longest: float) -> Column:
         return F.when(c.isNull(), s["done"]).when(c["end"] - c["start"] > longest, F.concat(s["done"], F.array(first, second))).otherwise(F.array_append(s["done"], c))
 
     return F.aggregate(segments, start, step, end)
+
+
+def image_documents(summaries: Column, uri: Column, extra: Column) -> Column:
+    """Pictures of a page as documents of their own: array of (doc_id, text, metadata).
+
+    summaries: array of (summary, metadata) in order. The id numbers all pictures of the page; what is known of the picture comes first, the
+    page's URL and the extra metadata win. The summary is the document's only text, the metadata stand at document and text alike.
+    """
+    url = F.create_map(F.lit("url"), uri)
+    return F.transform(
+        summaries,
+        lambda x, i: F.struct(F.concat(slug(uri), F.lit("_image_"), i).alias("doc_id"), x["summary"].alias("text"), merged_metadata(x["metadata"], url, extra).alias("metadata")),
+    )
+
+
+def table_payload(headers: Column, rows: Column, summary: Column) -> Column:
+    """A table as it is sent: missing cells are empty texts; without a summary, a row or a column there is none."""
+    filled = F.transform(rows, lambda r: F.transform(r, lambda c: F.coalesce(F.when(c.isin("NaN", "nan"), "").otherwise(c), F.lit(""))))
+    ok = (F.trim(F.coalesce(summary, F.lit(""))) != "") & (F.size(headers) > 0) & (F.size(rows) > 0)
+    return F.when(ok, F.struct(headers.alias("headers"), filled.alias("rows"), summary.alias("summary")))

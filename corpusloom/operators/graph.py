@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,12 +21,12 @@ def reach(seeds: DataFrame, edges: DataFrame, depth: int, follow: Column | None
     frontier = seeds.select("id").where("id is not null").distinct()
     found = cut_lineage(frontier.withColumn("depth", F.lit(0)))
     for step in range(1, depth + 1):
-        last = found.where(F.col("depth") == step - 1).select(F.col("id").alias("src"))
-        new = edges.join(last, "src", "left_semi").select(F.col("dst").alias("id")).distinct().join(found.select("id"), "id", "left_anti")
-        new = cut_lineage(new.withColumn("depth", F.lit(step)))
-        if new.isEmpty():
+        # each frontier is written once; what was found before is their union
+        new = edges.join(frontier.select(F.col("id").alias("src")), "src", "left_semi").select(F.col("dst").alias("id")).distinct().join(found.select("id"), "id", "left_anti")
+        frontier = cut_lineage(new.withColumn("depth", F.lit(step)))
+        if frontier.isEmpty():
             break
-        found = cut_lineage(found.unionByName(new))
+        found = found.unionByName(frontier)
     return found
 
 
@@ -45,3 +47,19 @@ def inherited(nodes: DataFrame, key: str, parent: str, own: str) -> DataFrame:
         if level.isEmpty():
             return out
         out = out.unionByName(level)
+
+
+def sitemap_tree(files: DataFrame, roots: DataFrame, entries: Callable[[Column], Column], depth: int = 8) -> DataFrame:
+    """(loc, lastmod) of all pages that the roots' sitemaps name, through indexes of sitemaps; the first of each loc by what is dated earliest.
+
+    files: url, xml, is_index. roots: url. An index that names itself ends, because each round takes only maps that weren't read before.
+    """
+    edges = files.where("is_index").select(F.col("url").alias("src"), F.explode(entries(F.col("xml"))).alias("e")).select("src", F.col("e.loc").alias("dst"))
+    known = reach(roots.select(F.col("url").alias("id")), edges, depth)
+    pages = files.where("not is_index").join(known.select(F.col("id").alias("url")), "url", "left_semi").select(F.explode(entries(F.col("xml"))).alias("e"))
+    return pages.groupBy("e.loc").agg(F.min("e.lastmod").alias("lastmod"))
+
+
+def limited(found: DataFrame, most: int) -> DataFrame:
+    """The feature is the cap: a traversal that was asked for at most so many pages gives the nearest, of equally near ones the first by id."""
+    return found.orderBy("depth", "id").limit(most)

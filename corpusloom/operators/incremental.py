@@ -121,3 +121,21 @@ def removed(indexed: DataFrame, listed: DataFrame, key: str, listing_complete: b
     """(key, change): what is indexed and not listed any more; nothing where the listing broke off."""
     gone = indexed.join(listed.select(key), key, "left_anti").select(key, F.lit("removed").alias("change"))
     return gone if listing_complete else gone.where("false")
+
+
+def stamped(parts: DataFrame, parent: Column, source: Column, incremental: bool) -> DataFrame:
+    """Parts of documents with their parent's id and their source, so that they live and die with the parent; untouched in a plain run."""
+    return parts.withColumns({"parent_doc_id": parent, "source": source}) if incremental else parts
+
+
+def listing(pages: DataFrame, corpus: str, status: str, docs: str) -> DataFrame:
+    """What the paged listings of corpora hold; a corpus of which any page failed counts as empty, because half a listing would delete the rest."""
+    broken = pages.where(F.coalesce(F.col(status) != 200, F.lit(True))).select(corpus).distinct()
+    whole = pages.join(broken, corpus, "left_anti")
+    return whole.select(corpus, F.explode(docs).alias("doc")).select(corpus, "doc.*")
+
+
+def pages_until_failure(pages: DataFrame, key: str, number: str, failed: Column) -> DataFrame:
+    """The pages of each listing before its first failed one: what was read before that stays."""
+    first = pages.where(failed).groupBy(key).agg(F.min(number).alias("_first"))
+    return pages.join(first, key, "left").where(F.col("_first").isNull() | (F.col(number) < F.col("_first"))).drop("_first")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import SPACE
+from corpusloom.functions.text import SPACE, quoted
 
 CORE_LIMIT, SECTION_LIMIT, FIXED_SIZE = 8_192, 16_000, 512
 #: Fixed value: the characters of SPACE.
@@ -69,7 +69,7 @@ def split_text(c: Column, limit: int = CORE_LIMIT) -> Column:
     return F.when(F.length(c) <= limit, F.array(c)).otherwise(packed)
 
 
-def greedy_groups(sizes: Column, base: int, budget: int) -> Column:
+def greedy_groups(sizes: Column, base: Column | int, budget: int) -> Column:
     """For each size the number of the group it falls in: a group begins with `base` and closes before it passes the budget."""
     start = F.struct(F.array().cast("array<int>").alias("out"), F.lit(0).alias("n"), F.lit(base).cast("long").alias("sum"), F.lit(False).alias("any"))
 
@@ -90,3 +90,43 @@ def split_row(cells: Column, limit: int) -> Column:
     text = F.get(cells, big)
     starts = F.when(F.length(text) > 0, F.sequence(F.lit(1), F.length(text), size)).otherwise(F.array(F.lit(1)))
     return F.transform(starts, lambda at: F.transform(cells, lambda c, i: F.when(i == big, F.substring(c, at, size)).when(at == 1, c).otherwise(F.lit(""))))
+
+
+def json_size(cells: Column) -> Column:
+    """How many characters a row of cells has as JSON in ASCII, each cell an object with one text, with a space after commas and colons."""
+    each = F.transform(cells, lambda c: F.length(quoted(c)) + len('{"text_value": }'))
+    return F.aggregate(each, F.lit(0), lambda a, b: a + b) + 2 + 2 * F.greatest(F.size(cells) - 1, F.lit(0))
+
+
+def split_table(table_id: Column, description: Column, headers_size: Column, rows: Column, limit: int = SECTION_LIMIT) -> Column:
+    """A table as tables of at most about four fifths of the limit: array of (id, description, rows).
+
+    A table that fits as JSON, or has no rows, stays. Else rows over the budget are cut at their largest cell, rows are packed in order, and
+    the tables after the first are numbered `_part1` and on; all keep the description, cut at the limit.
+    """
+    budget = int(limit * 0.8)
+    sizes = F.transform(rows, json_size)
+    whole = headers_size + len('{"headers": , "rows": []}') + F.aggregate(sizes, F.lit(0), lambda a, b: a + b) + 2 * F.greatest(F.size(rows) - 1, F.lit(0))
+    room = F.lit(budget) - headers_size
+
+    def cut(row: Column) -> Column:
+        lengths = F.transform(row, lambda c: F.length(quoted(c)))
+        big = F.get(row, F.array_position(lengths, F.array_max(lengths)) - 1)
+        return F.when(json_size(row) > room, split_row_by(row, F.greatest(F.lit(100), room - (json_size(row) - F.length(quoted(big)))), lengths)).otherwise(F.array(row))
+
+    parts = F.flatten(F.transform(rows, cut))
+    groups = greedy_groups(F.transform(parts, lambda r: json_size(r).cast("long")), headers_size, budget)
+    said = F.substring(F.coalesce(description, F.lit("")), 1, limit)
+    numbered = F.transform(
+        F.sequence(F.lit(0), F.array_max(groups)),
+        lambda k: F.struct(F.concat(table_id, F.when(k == 0, "").otherwise(F.concat(F.lit("_part"), k))).alias("id"), said.alias("description"), F.transform(F.filter(F.arrays_zip(groups.alias("g"), parts.alias("r")), lambda x: x["g"] == k), lambda x: x["r"]).alias("rows")),
+    )
+    return F.when((whole <= limit) | (F.size(rows) == 0), F.array(F.struct(table_id.alias("id"), description.alias("description"), rows.alias("rows")))).otherwise(numbered)
+
+
+def split_row_by(cells: Column, size: Column, lengths: Column) -> Column:
+    """A row as rows: its largest cell (the first of equal ones) in pieces of `size`, the others in the first row only."""
+    big = F.array_position(lengths, F.array_max(lengths)) - 1
+    text = F.get(cells, big)
+    starts = F.when(F.length(text) > 0, F.sequence(F.lit(1), F.length(text), size)).otherwise(F.array(F.lit(1)))
+    return F.transform(starts, lambda at: F.transform(cells, lambda c, i: F.when(i == big, F.substring(c, at, size)).when(at == 1, c).otherwise(F.lit(""))))

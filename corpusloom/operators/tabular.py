@@ -184,3 +184,40 @@ def markdown_table(lines: Column) -> Column:
     rows = F.filter(F.split(lines, "\n"), lambda r: F.trim(r) != "")
     cells = F.transform(rows, lambda r: F.filter(F.transform(F.split(r, r"\|"), lambda c: F.trim(c)), lambda c: c != ""))
     return F.filter(cells, lambda r: ~F.forall(r, lambda c: c.rlike(r"^:?-+:?\z")))
+
+
+def markdown_frame(lines: Column) -> Column:
+    """A markdown table as header and rows. Empty cells go, so rows may be shifted; the header gets Column_k for what rows have more, short rows are filled up."""
+    kept = F.filter(F.split(F.trim(lines), "\n"), lambda r: F.lit(True))
+    cells = F.transform(kept, lambda r: F.filter(F.transform(F.split(r, r"\|"), lambda c: F.trim(c)), lambda c: c != ""))
+    separator = (F.size(kept) > 1) & F.get(kept, F.lit(1)).rlike(r"^[\s|\-]*\z") & F.get(kept, F.lit(1)).contains("-")
+    rows = F.slice(cells, F.when(separator, 3).otherwise(2), F.greatest(F.size(cells), F.lit(1)))
+    header = F.get(cells, F.lit(0))
+    width = F.greatest(F.size(header), F.coalesce(F.array_max(F.transform(rows, lambda r: F.size(r))), F.lit(0)))
+    more = F.when(width > F.size(header), F.transform(F.sequence(F.size(header) + 1, F.greatest(width, F.size(header) + 1)), lambda k: F.concat(F.lit("Column_"), k))).otherwise(F.array().cast("array<string>"))
+    filled = F.transform(rows, lambda r: F.concat(r, F.array_repeat(F.lit(""), F.greatest(width - F.size(r), F.lit(0)))))
+    return F.struct(F.concat(header, more).alias("header"), filled.alias("rows"))
+
+
+def header_spans(labels: Column) -> Column:
+    """A row of column labels as (label, span): neighbours of one label become one; null counts as ''."""
+    kind = "array<struct<label:string,span:int>>"
+
+    def step(out: Column, x: Column) -> Column:
+        last = F.try_element_at(out, F.lit(-1))
+        grown = F.concat(F.slice(out, 1, F.greatest(F.size(out) - 1, F.lit(0))), F.array(F.struct(last["label"].alias("label"), (last["span"] + 1).alias("span"))))
+        return F.when(last["label"] == x, grown).otherwise(F.concat(out, F.array(F.struct(x.alias("label"), F.lit(1).alias("span"))))).cast(kind)
+
+    return F.aggregate(F.transform(labels, lambda x: F.coalesce(x, F.lit(""))), F.array().cast(kind), step)
+
+
+def whole_table(df: DataFrame, doc_id: str, title: str, order: list[str], rows: int = 500, columns: int = 20) -> DataFrame:
+    """Table mode: one document of a whole table, with its summary as text, and of what is shown the first rows and columns."""
+    n = df.count()
+    if not n:
+        rows = 0
+    shown = truncated(df, order, rows, columns)
+    cells = F.struct(*[F.col(c) for c in order], F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in shown.columns]).alias("_cells"))
+    table = shown.agg(F.transform(F.array_sort(F.collect_list(cells)), lambda r: r["_cells"]).alias("rows"))
+    said = F.concat(F.lit(title), F.lit(f": {n} rows with columns "), F.lit(", ".join(df.columns[:columns])))
+    return table.where(F.size("rows") > 0).select(F.lit(doc_id).alias("doc_id"), said.alias("text"), F.array(*[F.lit(c) for c in shown.columns]).alias("headers"), "rows")

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import uuid
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from corpusloom.operators import tracking
 from corpusloom.session import shared_dir
@@ -60,3 +62,50 @@ def counters_each(target: str, by: str):
         tracking.counters(spark.read.parquet(f"{target}/states-{number}"), by).write.mode("overwrite").parquet(f"{target}/counters")
 
     return take
+
+
+def status_changes(log: DataFrame) -> DataFrame:
+    """(crawler_type, status, delta) of a stream of states (seq, doc_id, crawler_type, status): +1 where a document comes to a status, -1 where it leaves one.
+
+    The latest state of each document is kept in the stream's state store, so a batch costs its own rows; states that arrive late
+    (a lower seq than the one kept) and repeated ones change nothing.
+    """
+
+    def run(key, frames, state):
+        seq, status = state.get if state.exists else (None, None)
+        was = status
+        for frame in frames:
+            for s, x in zip(frame["seq"], frame["status"], strict=True):
+                if seq is None or s > seq:
+                    seq, status = int(s), x
+        if seq is not None:
+            state.update((seq, status))
+        if status != was or not was:
+            rows = [(key[1], x, d) for x, d in ((was, -1), (status, 1)) if x is not None]
+            yield pd.DataFrame(rows, columns=["crawler_type", "status", "delta"])
+
+    rows = log.where("doc_id is not null and seq is not null").select("doc_id", "crawler_type", "seq", "status")
+    return rows.groupBy("doc_id", "crawler_type").applyInPandasWithState(run, "crawler_type string, status string, delta int", "seq long, status string", "update", GroupStateTimeout.NoTimeout)
+
+
+def sync_each(target: str, key: str = "key"):
+    """A foreachBatch function that compares a batch of items (key, fingerprint, order) with what is held, writes the actions, and takes the items in.
+
+    A batch's actions and what it adds are written under its number, so a batch that runs again writes the same; what is held is the last
+    of each key over all additions before.
+    """
+
+    def take(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        items = batch.groupBy(key).agg(F.max_by("fingerprint", "order").alias("fingerprint"))
+        none = spark.createDataFrame([], f"{key} string, fingerprint string, number int")
+        # only versions of earlier batches count, whatever a failed run left behind
+        held = spark.read.parquet(*[f"{target}/added-{i}" for i in range(number)]) if number else none
+        held = held.groupBy(key).agg(F.max_by("fingerprint", "number").alias("held"))
+        action = F.when(F.col("held").isNull(), "new").when(F.col("held") == F.col("fingerprint"), "unchanged").otherwise("changed")
+        judged = items.join(held, key, "left").select(key, "fingerprint", action.alias("action"), F.lit(number).alias("number"))
+        judged.write.mode("overwrite").parquet(f"{target}/actions-{number}")
+        done = spark.read.parquet(f"{target}/actions-{number}").where("action <> 'unchanged'")
+        done.select(key, "fingerprint", "number").write.mode("overwrite").parquet(f"{target}/added-{number}")
+
+    return take
