@@ -89,6 +89,7 @@ def p4_loads(spark: SparkSession, folder: str) -> DataFrame:
     for b in sorted((r[0] for r in documents.select("batch_no").distinct().collect()), key=lambda b: (b is not None, b)):
         pairs = kept.add(documents.where(F.col("batch_no").eqNullSafe(F.lit(b))), "doc_id", "text", "batch_no")
         out = pairs if out is None else out.unionByName(pairs)
+    kept.drop()
     return _paired(out if out is not None else history.repeats(documents, "doc_id", "text", "batch_no"))
 
 
