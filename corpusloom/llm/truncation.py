@@ -217,12 +217,14 @@ class Model:
 
 def fit(examples: list[tuple[list[int], int]], seed: int = 7) -> np.ndarray:
     """Weights of a logistic regression on (feature numbers, label), by Adagrad over shuffled blocks."""
-    weights, square = np.zeros(1 << BITS), np.full(1 << BITS, 1e-6)
+    weights = np.zeros(1 << BITS)
     if not examples:
         weights[_hash("bias")] = -1.0
         return weights
     lengths = np.array([len(f) for f, _ in examples])
-    flat = np.concatenate([np.asarray(f, np.int64) for f, _ in examples])
+    # only features that are there have weights of their own
+    used, flat = np.unique(np.concatenate([np.asarray(f, np.int64) for f, _ in examples]), return_inverse=True)
+    own, square, touched = np.zeros(len(used)), np.full(len(used), 1e-6), np.zeros(len(used), bool)
     starts = np.cumsum(lengths) - lengths
     label = np.array([y for _, y in examples], float)
     rng = np.random.default_rng(seed)
@@ -231,12 +233,14 @@ def fit(examples: list[tuple[list[int], int]], seed: int = 7) -> np.ndarray:
         for block in np.array_split(order, max(1, len(order) // 256)):
             row = np.repeat(np.arange(len(block)), lengths[block])
             at = flat[np.repeat(starts[block] - np.cumsum(lengths[block]) + lengths[block], lengths[block]) + np.arange(lengths[block].sum())]
-            z = np.bincount(row, weights[at], len(block))
+            z = np.bincount(row, own[at], len(block))
             error = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - label[block]
-            slots, inverse = np.unique(at, return_inverse=True)
-            step = np.bincount(inverse, error[row], len(slots)) / len(block) + L2 * weights[slots]
-            square[slots] += step * step
-            weights[slots] -= RATE * step / np.sqrt(square[slots])
+            touched[at] = True
+            step = np.bincount(at, error[row], len(used)) / len(block) + L2 * own * touched
+            touched[at] = False
+            square += step * step
+            own -= RATE * step / np.sqrt(square)
+    weights[used] = own
     return weights
 
 
@@ -255,6 +259,8 @@ def fit_cleaned(rows: list[tuple[list[int], int]], rounds: int = 3) -> tuple[np.
         for half in (0, 1):
             weights = fit([(f, int(kind == CUT)) for i, (f, kind) in enumerate(rows) if i % 4 // 2 != half and i not in out])
             found |= {i for i, (f, kind) in enumerate(rows) if kind == REAL and i % 4 // 2 == half and weights[f].sum() > 0}
+        if found == out:
+            break
         out = found
     return fit([(f, int(kind == CUT)) for i, (f, kind) in enumerate(rows) if i not in out]), len(out)
 
