@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -15,7 +15,9 @@ def first_of(df: DataFrame, keys: list[str], order: str) -> DataFrame:
 def associated(parents: DataFrame, links: DataFrame, children: DataFrame, parent: str, child: str, position: str, cap: int = 10) -> DataFrame:
     """Each parent with its primary child (the first that exists) and at most `cap` children in order; missing children are passed over."""
     found = links.join(children.select(child), child, "left_semi")
-    listed = found.groupBy(parent).agg(F.sort_array(F.collect_list(F.struct(position, child))).alias("l"))
+    # no more than `cap` a parent are collected, however many it has
+    place = F.row_number().over(Window.partitionBy(parent).orderBy(position, child))
+    listed = found.withColumn("_place", place).where(F.col("_place") <= cap).groupBy(parent).agg(F.sort_array(F.collect_list(F.struct(position, child))).alias("l"))
     ids = F.transform("l", lambda x: x[child])
     return parents.join(listed.select(parent, F.get(ids, F.lit(0)).alias("primary"), F.slice(ids, 1, cap).alias("children")), parent, "left")
 

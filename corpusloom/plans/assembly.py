@@ -262,8 +262,12 @@ def chunk_steps(spark, folder):
 @query("SELECT doc_id, md5(left(string_agg(coalesce(content, ''), chr(10) ORDER BY position, elem_id), 128000)) AS full_text FROM page_elements GROUP BY doc_id")
 def page_texts(spark, folder):
     """All contents of a page in the order of position, up to the size that a summary takes."""
-    rows = table(spark, folder, "page_elements").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("position", "elem_id", F.coalesce("content", F.lit("")).alias("c")))).alias("l"))
-    return rows.select("doc_id", F.md5(F.substring(F.array_join(F.transform("l", lambda x: x["c"]), "\n"), 1, 128_000)).alias("full_text"))
+    at = Window.partitionBy("doc_id").orderBy(F.col("position").asc_nulls_last(), "elem_id").rowsBetween(Window.unboundedPreceding, -1)
+    rows = table(spark, folder, "page_elements").select("doc_id", "position", "elem_id", F.coalesce("content", F.lit("")).alias("c"))
+    # only what begins within the size is collected
+    begun = rows.withColumn("before", F.coalesce(F.sum(F.length("c") + 1).over(at), F.lit(0))).where("before < 128000")
+    listed = begun.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("before", F.col("position").isNull().alias("last"), "position", "elem_id", "c"))).alias("l"))
+    return listed.select("doc_id", F.md5(F.substring(F.array_join(F.transform("l", lambda x: x["c"]), "\n"), 1, 128_000)).alias("full_text"))
 
 
 def queries() -> dict:

@@ -294,11 +294,16 @@ def _staged(spark, folder, name, files, columns):
 
 @query("SELECT crawler_type, count(*) AS total, count(*) FILTER (status = 'indexed') AS indexed FROM (SELECT doc_id, crawler_type, max_by({'s': status}, seq).s AS status FROM tracker_log WHERE doc_id IS NOT NULL GROUP BY ALL) GROUP BY 1")
 def streamed_counters(spark, folder):
-    """The tracker's log in three micro-batches, states carried from one to the next."""
+    """The tracker's log in three micro-batches: sums of the changes of states, which are kept in the state store."""
     at = _staged(spark, folder, "tracker_log", 3, ["seq", "doc_id", "crawler_type", "status"])
     target = f"{at}-out"
-    streams.run_available(streams.stream_of(spark, at, 1), target, each=streams.counters_each(target, "crawler_type"))
-    return spark.read.parquet(f"{target}/counters").select("crawler_type", "total", "indexed")
+
+    def keep(batch, number):
+        batch.write.mode("overwrite").parquet(f"{target}/changes/batch={number}")
+
+    streams.run_available(streams.status_changes(streams.stream_of(spark, at, 1)), target, "update", keep)
+    changes = spark.read.parquet(f"{target}/changes")
+    return changes.groupBy("crawler_type").agg(F.sum("delta").alias("total"), F.sum(F.when(F.col("status") == "indexed", F.col("delta")).otherwise(0)).alias("indexed"))
 
 
 _DAYS = "SELECT date_trunc('day', ts) AS window_start, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY ALL"

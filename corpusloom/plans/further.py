@@ -211,7 +211,7 @@ _HEADERS = '[["date", "flag", "status", "part"]]'
 
 
 @query(
-    f"""WITH t AS (SELECT l_orderkey, list(({_SIZES})::BIGINT ORDER BY l_linenumber) AS sizes FROM lineitem GROUP BY 1), w AS (SELECT *, {len(_HEADERS) + 25} + list_sum(sizes) + 2 * (len(sizes) - 1) AS whole FROM t),
+    f"""WITH t AS (SELECT l_orderkey, list(({_SIZES})::BIGINT ORDER BY l_linenumber, l_shipdate::DATE::VARCHAR, l_returnflag, l_linestatus, l_partkey::VARCHAR) AS sizes FROM lineitem GROUP BY 1), w AS (SELECT *, {len(_HEADERS) + 25} + list_sum(sizes) + 2 * (len(sizes) - 1) AS whole FROM t),
 g AS (SELECT l_orderkey, whole, list_reduce(list_prepend({{'out': []::INTEGER[], 'n': 0, 's': {len(_HEADERS)}::BIGINT, 'a': false}}, list_transform(sizes, lambda x: {{'out': []::INTEGER[], 'n': 0, 's': x, 'a': false}})), lambda s, x: CASE WHEN s.a AND s.s + x.s > 320 THEN {{'out': list_append(s.out, s.n + 1), 'n': s.n + 1, 's': {len(_HEADERS)} + x.s, 'a': true}} ELSE {{'out': list_append(s.out, s.n), 'n': s.n, 's': s.s + x.s, 'a': true}} END).out AS g, len(sizes) AS n FROM w)
 SELECT l_orderkey, 't' || l_orderkey || CASE WHEN x = 0 THEN '' ELSE '_part' || x END AS id, 'lines' AS description, count(*)::BIGINT AS n_rows FROM (SELECT l_orderkey, unnest(CASE WHEN whole <= 400 THEN list_transform(g, lambda y: 0) ELSE g END) AS x FROM g) GROUP BY ALL"""
 )

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,7 +48,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not at:
         if not is_local(spark):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        at = "file://" + tempfile.mkdtemp(prefix="corpusloom-")
+        local = tempfile.mkdtemp(prefix="corpusloom-")
+        atexit.register(shutil.rmtree, local, ignore_errors=True)
+        at = f"file://{local}"
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
 

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from corpusloom.operators import tracking
 from corpusloom.session import shared_dir
 
 
@@ -46,24 +45,6 @@ def sessions(events: DataFrame, at: str, key: str, gap: str, late: str) -> DataF
     return events.withWatermark(at, late).groupBy(F.session_window(at, gap).alias("w"), key).agg(F.count("*").alias("n")).select(key, F.col("w.start").alias("began"), F.col("w.end").alias("ended"), "n")
 
 
-def counters_each(target: str, by: str):
-    """A foreachBatch function that keeps the latest states under `target` in versions and their counters beside them.
-
-    A batch that is run again writes the same version again.
-    """
-
-    def take(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        states = tracking.latest(batch.where("doc_id is not null"), "doc_id", by)
-        if number:
-            old = spark.read.parquet(f"{target}/states-{number - 1}")
-            states = tracking.latest(old.unionByName(states), "doc_id", by)
-        states.write.mode("overwrite").parquet(f"{target}/states-{number}")
-        tracking.counters(spark.read.parquet(f"{target}/states-{number}"), by).write.mode("overwrite").parquet(f"{target}/counters")
-
-    return take
-
-
 def status_changes(log: DataFrame) -> DataFrame:
     """(crawler_type, status, delta) of a stream of states (seq, doc_id, crawler_type, status): +1 where a document comes to a status, -1 where it leaves one.
 
