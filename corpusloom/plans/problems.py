@@ -44,9 +44,28 @@ def p5_tables(spark: SparkSession, folder: str) -> DataFrame:
     return shred(table(spark, folder, "raw_records"), leaves=True)
 
 
+P5_FOUND = r"""WITH RECURSIVE raw AS (SELECT rec_id, ltrim(payload, chr(65279)) AS p FROM raw_records),
+j0 AS (SELECT rec_id, p::JSON AS j FROM raw WHERE json_valid(p)),
+j AS (SELECT rec_id, CASE WHEN json_type(j) = 'OBJECT' AND json_keys(j) = ['document'] AND json_type(j, '$.document') = 'OBJECT' THEN json_extract(j, '$.document') ELSE j END AS j FROM j0 WHERE json_type(j) = 'OBJECT'),
+names AS MATERIALIZED (SELECT DISTINCT t.key AS k FROM j, json_tree(j.j) t WHERE t.type = 'ARRAY' AND NOT regexp_matches(t.fullkey, '\\."?tables"?(\\[\\d+\\])*\\."?data"?[.\\[]')),
+n(rec_id, path, parent, k, is_elem, v) AS (
+  SELECT rec_id, '', '', NULL::VARCHAR, false, j FROM j
+  UNION ALL
+  SELECT n.rec_id, CASE WHEN json_type(n.v) = 'ARRAY' THEN n.path || '[' || e.key || ']' WHEN n.path = '' THEN e.key ELSE n.path || '.' || e.key END,
+    CASE WHEN n.is_elem AND json_type(n.v) = 'OBJECT' THEN n.path ELSE n.parent END,
+    CASE WHEN json_type(n.v) = 'ARRAY' THEN n.k ELSE e.key END, json_type(n.v) = 'ARRAY',
+    CASE WHEN json_type(n.v) = 'OBJECT' AND e.key IN (SELECT k FROM names) AND e.type = 'OBJECT' THEN ('[' || e.value || ']')::JSON
+         WHEN json_type(n.v) = 'OBJECT' AND e.key IN (SELECT k FROM names) AND e.type = 'VARCHAR' AND ltrim(json_extract_string(e.value, '$')) LIKE '[%' AND json_valid(json_extract_string(e.value, '$')) THEN json_extract_string(e.value, '$')::JSON
+         ELSE e.value END
+  FROM n, json_each(n.v) e
+  WHERE json_type(n.v) IN ('OBJECT', 'ARRAY') AND NOT (json_type(n.v) = 'OBJECT' AND n.k = 'tables' AND e.key = 'data'))
+SELECT rec_id, path AS node_path, parent AS parent_path FROM n WHERE is_elem AND json_type(v) = 'OBJECT'
+"""
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (p2_found, p2_instants, p5_found, p5_tables)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p5_found": P5_FOUND}
