@@ -133,6 +133,33 @@ SELECT DISTINCT item_id, doc_id FROM dw JOIN iw USING (g)
 """
 
 
+P4_FOUND = f"""WITH RECURSIVE d AS (SELECT doc_id, coalesce(batch_no, -1) AS b, {_WORDS.format("text")} AS w FROM documents WHERE text IS NOT NULL),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, b, array_to_string(w[k:k + 2], ' ') AS g FROM d, LATERAL (SELECT unnest(range(1, len(w) - 1)) AS k)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS MATERIALIZED (SELECT x.doc_id AS later, y.doc_id AS earlier FROM s x JOIN s y ON x.g = y.g AND (y.b, y.doc_id) < (x.b, x.doc_id) JOIN n a ON a.doc_id = x.doc_id JOIN n c ON c.doc_id = y.doc_id GROUP BY ALL HAVING 3 * count(*) >= 2 * (any_value(a.n) + any_value(c.n) - count(*))),
+o AS MATERIALIZED (SELECT doc_id, row_number() OVER (ORDER BY b, doc_id) AS i FROM (SELECT DISTINCT doc_id, b FROM d) WHERE doc_id IN (SELECT later FROM p)),
+l AS MATERIALIZED (SELECT later, list(earlier) AS e FROM p GROUP BY 1),
+r(i, rejected) AS (SELECT 0::BIGINT, []::BIGINT[] UNION ALL SELECT r.i + 1, CASE WHEN len(list_filter(l.e, lambda x: NOT list_contains(r.rejected, x))) > 0 THEN list_append(r.rejected, o.doc_id) ELSE r.rejected END FROM r JOIN o ON o.i = r.i + 1 JOIN l ON l.later = o.doc_id)
+SELECT least(later, earlier) AS doc_id_a, greatest(later, earlier) AS doc_id_b FROM p WHERE NOT list_contains((SELECT max_by(rejected, i) FROM r), earlier)
+"""
+
+
+def p7_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """The longest run of shared words of every leak without an edit."""
+    return p7_leaks(spark, folder).where("n_words > 0").groupBy("item_id", "doc_id").agg(F.max("n_words").alias("n_words"))
+
+
+P7_RUNS = f"""
+WITH d AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents),
+     i AS (SELECT item_id, {_WORDS.format("item_text")} AS w FROM eval_items),
+     iw AS (SELECT DISTINCT item_id, array_to_string(w[k:k + 11], ' ') AS g FROM i, LATERAL (SELECT unnest(range(1, len(w) - 10)) AS k)),
+     dw AS (SELECT doc_id, k, array_to_string(w[k:k + 11], ' ') AS g FROM d, LATERAL (SELECT unnest(range(1, len(w) - 10)) AS k)),
+     h AS (SELECT item_id, doc_id, k - row_number() OVER (PARTITION BY item_id, doc_id ORDER BY k) AS island FROM dw JOIN iw USING (g)),
+     r AS (SELECT item_id, doc_id, count(*) + 11 AS n FROM h GROUP BY item_id, doc_id, island)
+SELECT item_id, doc_id, max(n)::INTEGER AS n_words FROM r GROUP BY ALL
+"""
+
+
 def p8_scores(spark: SparkSession, folder: str) -> DataFrame:
     return truncation.scored(table(spark, folder, "documents"), "doc_id", "text", "source")
 
@@ -146,8 +173,8 @@ def p8_rates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_pieces, p1_restored, p3_found, p4_found, p4_loads, p6_found, p6_containers, p6_fill, p6_search, p7_found, p7_leaks, p8_found, p8_scores, p8_rates)}
+    return {f.__name__: f for f in (p1_found, p1_pieces, p1_restored, p3_found, p4_found, p4_loads, p6_found, p6_containers, p6_fill, p6_search, p7_found, p7_leaks, p7_runs, p8_found, p8_scores, p8_rates)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_FOUND, "p1_restored": P1_RESTORED, "p7_found": P7_FOUND}
+    return {"p1_found": P1_FOUND, "p1_restored": P1_RESTORED, "p4_found": P4_FOUND, "p4_loads": P4_FOUND, "p7_found": P7_FOUND, "p7_runs": P7_RUNS}
