@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.session import cut_lineage
+from corpusloom.session import cut_round
 
 
 def reach(seeds: DataFrame, edges: DataFrame, depth: int, follow: Column | None = None) -> DataFrame:
@@ -19,11 +19,11 @@ def reach(seeds: DataFrame, edges: DataFrame, depth: int, follow: Column | None
         edges = edges.where(follow)
     edges = edges.where("src is not null and dst is not null").select("src", "dst")
     frontier = seeds.select("id").where("id is not null").distinct()
-    found = cut_lineage(frontier.withColumn("depth", F.lit(0)))
+    found = cut_round(frontier.withColumn("depth", F.lit(0)))
     for step in range(1, depth + 1):
         # each frontier is written once; what was found before is their union
         new = edges.join(frontier.select(F.col("id").alias("src")), "src", "left_semi").select(F.col("dst").alias("id")).distinct().join(found.select("id"), "id", "left_anti")
-        frontier = cut_lineage(new.withColumn("depth", F.lit(step)))
+        frontier = cut_round(new.withColumn("depth", F.lit(step)))
         if frontier.isEmpty():
             break
         found = found.unionByName(frontier)
@@ -37,13 +37,13 @@ def inherited(nodes: DataFrame, key: str, parent: str, own: str) -> DataFrame:
     """
     keys = nodes.select(F.col(key).alias(parent)).distinct()
     roots = nodes.join(keys, parent, "left_anti")
-    level = cut_lineage(roots.select(key, F.col(key).cast("string").alias("path"), F.coalesce(F.col(own).cast("string"), F.lit("")).alias("values"), F.lit(0).alias("level")))
+    level = cut_round(roots.select(key, F.col(key).cast("string").alias("path"), F.coalesce(F.col(own).cast("string"), F.lit("")).alias("values"), F.lit(0).alias("level")))
     out, n = level, 0
     while True:
         n += 1
         up = level.select(F.col(key).alias(parent), F.col("path").alias("_p"), F.col("values").alias("_v"))
         level = nodes.join(up, parent).select(key, F.concat_ws("/", "_p", F.col(key).cast("string")).alias("path"), F.concat_ws("/", "_v", F.coalesce(F.col(own).cast("string"), F.lit(""))).alias("values"), F.lit(n).alias("level"))
-        level = cut_lineage(level)
+        level = cut_round(level)
         if level.isEmpty():
             return out
         out = out.unionByName(level)

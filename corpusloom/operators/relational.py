@@ -51,6 +51,8 @@ def substituted(df: DataFrame, key: str, text: str, names: DataFrame, pattern: s
 
     names: id, name. Works on the distinct ids of each text, so the name table may be of any size.
     """
+    if key == "id":
+        return substituted(df.withColumnRenamed("id", "_key"), "_key", text, names, pattern, template).withColumnRenamed("_key", "id").select(*df.columns)
     head, tail = template.split("{}")
     ids = df.select(key, F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))).alias("_whole")).withColumn("id", F.regexp_extract("_whole", pattern, 1))
     pairs = ids.join(names, "id").groupBy(key).agg(F.collect_list(F.struct(F.col("_whole").alias("w"), F.concat(F.lit(head), "name", F.lit(tail)).alias("n"))).alias("_pairs"))

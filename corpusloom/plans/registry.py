@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from corpusloom.plans import assembly, connectors, further, maintenance, problems, records, scalars
+from corpusloom.plans import assembly, connected, connectors, further, maintenance, problems, records, scalars
 
-MODULES = (problems, scalars, assembly, maintenance, connectors, records, further)
+MODULES = (problems, scalars, assembly, maintenance, connectors, records, further, connected)
 
 
 def queries() -> dict:

@@ -63,3 +63,13 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(at)
     return df.checkpoint(eager=eager)
+
+
+def cut_round(df: DataFrame) -> DataFrame:
+    """The same for the rounds of a loop: what the planner has inferred about the columns is forgotten too.
+
+    A checkpoint keeps the constraints of its plan, and a loop of joins and renamed columns multiplies them with every round.
+    """
+    spark = df.sparkSession
+    done = cut_lineage(df)._jdf
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(done.queryExecution().toRdd(), done.schema(), False), spark)

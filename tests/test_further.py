@@ -211,3 +211,38 @@ def test_command_line(spark, folder, tmp_path, capsys):
     assert main(["run", "nothing", folder]) == 2
     assert main(["run", "long_enough_texts", folder, "--out", f"file://{tmp_path}/out"]) == 0
     assert spark.read.parquet(f"file://{tmp_path}/out").count() > 10
+
+
+def test_trees_and_threads(spark):
+    from corpusloom.operators import threads
+
+    items = [(1, None, "story", False, 5), (2, 1, "comment", False, 9), (3, 2, "comment", True, 99), (4, 3, "comment", False, 99), (5, 1, "job", False, 99), (6, None, "story", None, 1), (7, 6, "comment", None, 2), (8, 8, "comment", False, 9)]
+    df = spark.createDataFrame(items, "id long, parent long, type string, dead boolean, time long")
+    tree = threads.story_items(df, threads.union_of_lists(df.select("id"), df.select("id")))
+    assert {tuple(r) for r in tree.collect()} == {(1, 1, 0), (1, 2, 1), (6, 6, 0), (6, 7, 1)}
+    assert {r.story for r in threads.recent_trees(tree, df.select("id", "time"), F.lit(9)).collect()} == {1}
+    assert [r.id for r in threads.stories_back_to(df, F.lit(3)).collect()] == [] and {r.id for r in threads.stories_back_to(df, F.lit(0)).collect()} == {1, 6}
+    assert threads.story_items(df, df.limit(0).select("id")).count() == 0
+    # forty levels: the plan doesn't grow with them
+    deep = spark.createDataFrame([(i, i - 1 if i else None, "comment" if i else "story", False) for i in range(40)], "id long, parent long, type string, dead boolean").coalesce(1)
+    assert threads.story_items(deep, deep.select("id")).agg(F.max("level")).first()[0] == 39
+    says = [("c", 1, 1, 10, "hi <@U1> <@U9>", ["a", "a", " "]), ("c", 1, 2, 11, None, None), ("c", 1, 3, 12, "bye", None), ("c", 2, 1, 13, " ", [])]
+    messages = spark.createDataFrame(says, "channel string, thread int, at int, id int, text string, attachments array<string>")
+    docs = threads.chat_documents(messages, spark.createDataFrame([("U1", "ann")], "id string, name string")).collect()
+    assert [(r.thread, r.sections) for r in docs] == [(1, ["hi @ann <@U9>\na", "bye"])]
+
+
+def test_blocks_and_archives(spark):
+    import io
+    import zipfile
+
+    from corpusloom.operators import threads
+
+    blocks = spark.createDataFrame([(1, 100, 2, "p", "two"), (2, 100, 1, "p", "one"), (3, 2, 10, "p", "b"), (4, 2, 9, "p", "a"), (5, 100, 0, "child_page", "no"), (6, 5, 0, "p", "no"), (7, 200, 0, "p", " ")], "id int, parent int, ord int, type string, text string")
+    assert [tuple(r) for r in threads.block_texts(blocks, spark.createDataFrame([(100,), (200,)], "id int")).collect()] == [(100, "one a b two")]
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w") as z:
+        z.writestr("d/", b"")
+        z.writestr("d/a.txt", b"A")
+    df = spark.createDataFrame([(held.getvalue(),), (b"none",), (None,)], "z binary")
+    assert [[(m.name, bytes(m.data)) for m in r.m] for r in df.select(threads.archive_members(F.col("z")).alias("m")).collect()] == [[("d/a.txt", b"A")], [], []]
