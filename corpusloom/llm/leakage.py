@@ -45,6 +45,8 @@ BLOCK_CHARS = 8_000_000
 MOST_HITS, MOST_CELLS = 1_000_000, 4_000_000
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _BITS = 22
+#: Added to diagonals, so that none is negative.
+_MIDDLE = 1 << 23
 
 
 def grams(data: bytes) -> np.ndarray:
@@ -130,18 +132,20 @@ class Index:
         same = self.codes[found] == codes[at]
         return at[same], found[same]
 
-    def regions(self, data: bytes, most: int = MOST_HITS) -> np.ndarray:
-        """(item, first diagonal, shared q-grams) of the bands that hold enough of them, as rows.
+    def regions(self, data: bytes, starts: np.ndarray, most: int = MOST_HITS) -> np.ndarray:
+        """(text, item, first diagonal in the text, shared q-grams) of the bands that hold enough of them, as rows. starts: where the texts begin.
 
         A q-gram that many items share has as many places, so hits are expanded for at most about `most` at a time (one q-gram's places at
         least) and only the counts of bands are kept; bands that the text has passed are judged and leave the counts.
         """
         at, found = self.shared(data)
         if not at.size:
-            return np.empty((0, 3), np.int64)
+            return np.empty((0, 4), np.int64)
         step, first = self.edits + 1, self.first.astype(np.int64)
+        text = np.searchsorted(starts, at, "right") - 1
         times = first[found + 1] - first[found]
         total = np.cumsum(times)
+        # a key is a text (a chunk has fewer than 2^17), an item (a block has fewer than 2^20) and a band
         keys, counts, kept = np.empty(0, np.int64), np.empty(0, np.int64), []
         begin = 0
         while begin < len(at):
@@ -150,20 +154,21 @@ class Index:
             entry = np.repeat(first[found[begin:end]] - np.cumsum(n) + n, n) + np.arange(n.sum())
             place = self.place[entry].astype(np.int64)
             item = np.searchsorted(self.starts, place, "right") - 1
-            band = (np.repeat(at[begin:end], n) - place + self.starts[item] + (1 << 32)) // step
-            bands, c = np.unique(item << 40 | band, return_counts=True)
+            own = text[begin:end]
+            diagonal = np.repeat(at[begin:end] - starts[own], n) - place + self.starts[item]
+            bands, c = np.unique(np.repeat(own, n) << 44 | item << 24 | (diagonal + _MIDDLE) // step, return_counts=True)
             # overlapping bands of twice the width
             own, inverse = np.unique(np.concatenate([keys, bands, bands - 1]), return_inverse=True)
             c = np.bincount(inverse, np.concatenate([counts, c, c])).astype(np.int64)
             # a band whose item has ended before the next place gets no more hits
-            item, band = own >> 40, own & ((1 << 40) - 1)
-            over = (band + 2) * step - (1 << 32) + self.sizes[item] < (at[end] if end < len(at) else 1 << 40)
+            t, item, band = own >> 44, own >> 24 & 0xFFFFF, own & 0xFFFFFF
+            over = starts[t] + (band + 2) * step - _MIDDLE + self.sizes[item] < (at[end] if end < len(at) else 1 << 40)
             enough = over & (c >= self.need[item, 0])
             kept.append(np.stack([own[enough], c[enough]]))
             keys, counts = own[~over], c[~over]
             begin = end
         keys, counts = np.concatenate(kept, axis=1)
-        return np.stack([keys >> 40, (keys & ((1 << 40) - 1)) * step - (1 << 32), counts], axis=1)
+        return np.stack([keys >> 44, keys >> 24 & 0xFFFFF, (keys & 0xFFFFFF) * step - _MIDDLE, counts], axis=1)
 
     def verified(self, data: bytes, regions: np.ndarray, most: int = MOST_CELLS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Which regions' banded local alignments score enough, their scores and edits. regions: item, first diagonal, begin and end of the text.
@@ -189,13 +194,14 @@ class Index:
         text, source = np.frombuffer(data, np.uint8), np.frombuffer(self.data, np.uint8)
         column = np.arange(longest)
         items = np.where(column < sizes[:, None], source[np.minimum(self.starts[regions[:, 0]][:, None] + column, len(source) - 1)], 0).astype(np.uint8)
-        # score and number of edits in one number: of equal scores the one with fewer edits is the larger
-        unit = 1 << 20
-        score = np.zeros((len(regions), width + 1), np.int64)
-        best = np.zeros(len(regions), np.int64)
+        # score and number of edits in one number: of equal scores the one with fewer edits is the larger; an edit costs `PENALTY` matches,
+        # so there are fewer edits than `unit`
+        kind, unit = (np.int32, 1 << 10) if longest < 1 << 13 else (np.int64, 1 << 20)
+        score = np.zeros((len(regions), width + 1), kind)
+        best = np.zeros(len(regions), kind)
         places = regions[:, 1][:, None] + np.arange(width)[None, :]
         low, high = regions[:, 2:3], regions[:, 3:4]
-        gain, loss = unit, PENALTY * unit + 1
+        gain, loss = kind(unit), kind(PENALTY * unit + 1)
         for i in range(longest):
             j = places + i
             inside = (j >= low) & (j < high)
@@ -206,7 +212,7 @@ class Index:
             new[~inside] = 0
             score[:, :width] = new
             best = np.maximum(best, new.max(axis=1))
-        value = -(-best // unit)
+        value = -(-best.astype(np.int64) // unit)
         return value, value * unit - best
 
     def run(self, item: int, data: bytes, diagonal: int) -> int:
@@ -260,14 +266,9 @@ def scan(texts: list[str], index: Index) -> dict[tuple[int, int], tuple[int, int
         data = b"\n".join(held)
         sizes = np.array([len(d) for d in held], np.int64)
         starts = np.cumsum(sizes + 1) - sizes - 1
-        regions = index.regions(data)
-        # a region may touch several short texts: it is read in each of them
-        first = np.searchsorted(starts, np.maximum(0, regions[:, 1]), "right") - 1
-        last = np.minimum(np.searchsorted(starts, regions[:, 1] + 2 * (index.edits + 1) + index.sizes[regions[:, 0]], "right") - 1, len(held) - 1)
-        n = last - first + 1
-        which = np.repeat(np.arange(len(regions)), n)
-        of = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + first[which]
-        count, regions = regions[which, 2], np.column_stack([regions[which, :2], starts[of], starts[of] + sizes[of]])
+        regions = index.regions(data, starts)
+        of, count = regions[:, 0], regions[:, 3]
+        regions = np.column_stack([regions[:, 1], regions[:, 2] + starts[of], starts[of], starts[of] + sizes[of]])
         # passages without an edit have more q-grams: all those regions are read; of the others each text and item needs one that holds,
         # so they are tried by their number of q-grams until there is one
         whole = count >= index.need[regions[:, 0], 2]

@@ -1,6 +1,8 @@
 import random
 import tracemalloc
 
+import numpy as np
+
 from corpusloom.llm.leakage import Index, leaks, scan
 from corpusloom.llm.words import plain
 
@@ -71,8 +73,8 @@ def test_hot_openings_stay_within_memory():
     items = [(i, opening + "tion " + " ".join(rng.choice("abcdefghijklmnop") * 6 + str(rng.randint(0, 999)) for _ in range(12))) for i in range(1_000)]
     index = Index(items)
     small = ((opening + "! ") * 40 + items[5][1] + " ").encode()
-    few, all_ = ({tuple(r) for r in index.regions(small, most).tolist()} for most in (5_000, 1 << 40))
-    assert few == all_ and any(r[0] == 5 for r in few)
+    few, all_ = ({tuple(r) for r in index.regions(small, np.array([0]), most).tolist()} for most in (5_000, 1 << 40))
+    assert few == all_ and any(r[1] == 5 for r in few)
     hot = plain((opening + "! ") * 300 + items[5][1])
     tracemalloc.start()
     found = scan([hot], index)
