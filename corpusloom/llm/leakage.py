@@ -198,7 +198,7 @@ class Index:
         # so there are fewer edits than `unit`
         kind, unit = (np.int32, 1 << 10) if longest < 1 << 13 else (np.int64, 1 << 20)
         score = np.zeros((len(regions), width + 1), kind)
-        best = np.zeros(len(regions), kind)
+        best = np.zeros((len(regions), width), kind)
         places = regions[:, 1][:, None] + np.arange(width)[None, :]
         low, high = regions[:, 2:3], regions[:, 3:4]
         gain, loss = kind(unit), kind(PENALTY * unit + 1)
@@ -211,8 +211,9 @@ class Index:
                 new[:, k] = np.maximum(new[:, k], new[:, k - 1] - loss)
             new[~inside] = 0
             score[:, :width] = new
-            best = np.maximum(best, new.max(axis=1))
-        value = -(-best.astype(np.int64) // unit)
+            np.maximum(best, new, out=best)
+        best = best.max(axis=1).astype(np.int64)
+        value = -(-best // unit)
         return value, value * unit - best
 
     def run(self, item: int, data: bytes, diagonal: int) -> int:
@@ -275,7 +276,7 @@ def scan(texts: list[str], index: Index) -> dict[tuple[int, int], tuple[int, int
         pair = of << 40 | regions[:, 0]
         order = np.lexsort((-count, ~whole, pair))
         rank = np.arange(len(order)) - np.maximum.accumulate(np.where(np.diff(pair[order], prepend=-1) != 0, np.arange(len(order)), 0))
-        now, left = order[whole[order] | (rank == 0)], order[~whole[order] & (rank > 0)]
+        now, left, tries = order[whole[order] | (rank == 0)], order[~whole[order] & (rank > 0)], 1
         while now.size:
             at, scores, edits = index.verified(data, regions[now])
             now = now[at]
@@ -286,10 +287,12 @@ def scan(texts: list[str], index: Index) -> dict[tuple[int, int], tuple[int, int
                 old = found.get(key, (0, 0, 0))
                 better = (score, edit) if (score, -edit) > (old[1], -old[2]) else old[1:]
                 found[key] = (max(words, old[0]), *better)
-            # of each pair that is left the next region
-            first = np.ones(len(left), bool)
-            first[1:] = pair[left[1:]] != pair[left[:-1]]
-            now, left = left[first], left[~first]
+            # of each pair that is left the next regions, twice as many each time
+            tries *= 2
+            new = np.ones(len(left), bool)
+            new[1:] = pair[left[1:]] != pair[left[:-1]]
+            own = np.arange(len(left)) - np.maximum.accumulate(np.where(new, np.arange(len(left)), 0)) < tries
+            now, left = left[own], left[~own]
     return found
 
 
