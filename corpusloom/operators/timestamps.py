@@ -173,6 +173,8 @@ def with_instant(df: DataFrame, value: str, tz: str, locale: str, out: str = "ut
     )
     zone_map = {z.lower(): z for z in zones}
     zone_flat = F.create_map(*[F.lit(x) for kv in zone_map.items() for x in kv])
+    # a zone as it is spelt is found in a hash set; only other spellings go through the list of all
+    zone_of = lambda c: F.when(c.isin(*zones), c).otherwise(F.try_element_at(zone_flat, F.lower(c)))
     step = step.select(
         "*",
         hit.alias(f"{pre}_hit"),
@@ -186,7 +188,7 @@ def with_instant(df: DataFrame, value: str, tz: str, locale: str, out: str = "ut
         F.coalesce(F.rpad(F.substring(text["f"], 1, 6), 6, "0").try_cast("long"), F.lit(0)).alias(f"{pre}_f"),
         F.coalesce(off_min, _lookup(ABBREVIATIONS, F.lower(text["abbr"])).cast("long")).alias(f"{pre}_off"),
         text["zone"].alias(f"{pre}_zt"),
-        F.when(text["zone"].isNotNull(), F.try_element_at(zone_flat, F.lower(text["zone"]))).alias(f"{pre}_zone"),
+        F.when(text["zone"].isNotNull(), zone_of(text["zone"])).alias(f"{pre}_zone"),
         F.coalesce(
             number("secs") * 1_000_000 + F.coalesce(F.rpad(F.substring(text["frac"], 1, 6), 6, "0").try_cast("long"), F.lit(0)),
             number("milli") * 1000, number("micro"),
@@ -213,7 +215,7 @@ def with_instant(df: DataFrame, value: str, tz: str, locale: str, out: str = "ut
     )
     local = F.when((col("y") >= 1) & clock_ok, day * 86_400_000_000 + (col("h") * 3600 + col("mi") * 60 + col("s")) * 1_000_000 + col("f"))
     step = step.select("*", local.alias(f"{pre}_local"))
-    row_zone = F.try_element_at(zone_flat, F.lower(F.col(f"`{tz}`")))
+    row_zone = zone_of(F.col(f"`{tz}`"))
     zone = F.coalesce(col("zone"), row_zone, F.lit("UTC"))
     by_zone = F.unix_micros(F.to_utc_timestamp(F.timestamp_micros(col("local")), zone))
     utc = F.coalesce(
