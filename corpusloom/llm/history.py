@@ -1,8 +1,8 @@
 """New batches checked for copies and near-copies against everything accepted before.
 
 A text is the set of its shingles, in one order for all texts: rare ones first,
-by counts of hash slots on a bounded sample of records, then by code (any order
-is right, a rare-first one is cheap).  Of n shingles the first n - ceil(2n/3) + 1
+by counts of hash slots over all records of the load (of a history: its first
+load), then by code (any order is right, a rare-first one is cheap).  Of n shingles the first n - ceil(2n/3) + 1
 are indexed ("anchors"): the suffixes of the text that begin with them.  Two
 texts of which two thirds of the shingles are in both share at least one anchor,
 whatever their length and wherever they differ.  No similar pair is lost (but for
@@ -70,11 +70,11 @@ NO_TAIL = 16
 #: So many ids of records in pairs are broadcast at most (8 bytes each); beyond that their texts are found by a shuffled join.
 BROADCAST_IDS = 1_000_000
 ROWS_A_PARTITION = 2_000_000
-#: The order of shingles: counts in 2^SLOT_BITS slots, on about COUNTED records, but at least one of SAMPLED.
-SLOT_BITS, COUNTED, SAMPLED = 20, 16_384, 64
+#: Counts of shingles and anchors stand in 2^SLOT_BITS slots; SLOTS_A_ROW of them travel together. Every record is counted: SAMPLED is read nowhere, but set by a test.
+SLOT_BITS, SLOTS_A_ROW, SAMPLED = 20, 1_024, 1
 #: Words of 64 classes whose parity stands beside a record's anchors, at most.
 PARITY_WORDS = 64
-#: Slots of more than RANGE times HOT_FACTOR shingles are hot; new records there are salted so many ways.
+#: Slots of more than RANGE times HOT_FACTOR anchors of a load are hot; new records there are salted so many ways.
 HOT_FACTOR, SALTS = 4_096, 64
 CHUNK_WORDS, CHUNK_TEXTS, CHUNK_MATCHES = 500_000, 4_000, 2_000_000
 #: What stands packed in the rows of a part: records, and for each of their anchors 40 bits of its code, its place (up to 65,535) and these flags.
@@ -135,19 +135,24 @@ def _slot(codes: np.ndarray) -> np.ndarray:
     return (codes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
-def ordered(codes: np.ndarray, ends: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct shingles of texts whose word codes stand one after the other, in the order of anchors: their texts, their codes, and how many each text has."""
+def _inside(codes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of texts whose word codes stand one after the other, repeated ones too: their texts and their codes."""
     n = np.diff(ends, prepend=0)
     own = _windows(codes, SHINGLE, 1)
     text = np.repeat(np.arange(len(n)), n)[: len(own)]
     inside = np.arange(len(own)) + SHINGLE <= ends[text]
-    t, c = text[inside], own[inside]
+    return text[inside], own[inside]
+
+
+def ordered(codes: np.ndarray, ends: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct shingles of texts whose word codes stand one after the other, in the order of anchors: their texts, their codes, and how many each text has."""
+    t, c = _inside(codes, ends)
     order = np.lexsort((c, t) if counts is None else (c, counts[_slot(c)], t))
     t, c = t[order], c[order]
     new = np.ones(len(t), bool)
     new[1:] = (t[1:] != t[:-1]) | (c[1:] != c[:-1])
     t, c = t[new], c[new]
-    return t, c, np.bincount(t, minlength=len(n))
+    return t, c, np.bincount(t, minlength=len(ends))
 
 
 def _first(size: np.ndarray) -> np.ndarray:
@@ -186,24 +191,56 @@ def _chunks(batches, column: int):
             yield rb, keep, names, codes
 
 
-def shingle_counts(docs: DataFrame, text: str) -> np.ndarray:
-    """How many shingles of about `COUNTED` records fall into each slot: the order of anchors. Slots met once in a task count as not met."""
-    rows = docs.select(F.col(f"`{text}`").alias("t")).where("t is not null and t <> ''")
-    every = max(1, min(SAMPLED, docs.count() // COUNTED))
-    sample = rows.where(F.pmod(F.xxhash64("t"), F.lit(every)) == 0)
+def _slot_counts(rows: DataFrame, codes) -> np.ndarray:
+    """How many of all the codes that `codes` yields for batches of rows fall into each slot. What a task shuffles and what the driver gets is bounded by the number of slots."""
 
-    def run(batches):
+    def count(batches):
         total = np.zeros(1 << SLOT_BITS, np.int64)
-        for _, _, _, codes in _chunks(batches, 0):
-            total += np.bincount(_slot(ordered(np.concatenate(codes), np.cumsum([len(c) for c in codes]))[1]), minlength=1 << SLOT_BITS)
-        at = np.flatnonzero(total > 1)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["slot", "n"])
+        for found in codes(batches):
+            total += np.bincount(_slot(found), minlength=1 << SLOT_BITS)
+        at = np.flatnonzero(total.reshape(-1, SLOTS_A_ROW).any(axis=1))
+        # the first bytes of all counts, then the second ones: mostly zeros, which compress
+        packed = total.view(np.uint8).reshape(-1, SLOTS_A_ROW, 8).swapaxes(1, 2)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array([packed[i].tobytes() for i in at], pa.binary())], names=["at", "n"])
+
+    def add(batches):
+        total: dict[int, np.ndarray] = {}
+        for rb in batches:
+            for at, n in zip(rb.column(0).to_pylist(), rb.column(1).to_pylist(), strict=True):
+                own = np.ascontiguousarray(np.frombuffer(n, np.uint8).reshape(8, -1).T).view(np.int64)[:, 0]
+                total[at] = total.get(at, 0) + own
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([n.tobytes() for n in total.values()], pa.binary())], names=["at", "n"])
+
+    kinds, counts = "at long, n binary", np.zeros((1 << SLOT_BITS) // SLOTS_A_ROW * SLOTS_A_ROW, np.int64).reshape(-1, SLOTS_A_ROW)
+    found = rows.mapInArrow(count, kinds).repartition("at").mapInArrow(add, kinds).toArrow()
+    for at, n in zip(found.column("at").to_pylist(), found.column("n").to_pylist(), strict=True):
+        counts[at] = np.frombuffer(n, np.int64)
+    return counts.ravel()
+
+
+def shingle_counts(docs: DataFrame, text: str) -> np.ndarray:
+    """How many distinct shingles of each record, over all records, fall into each slot: the order of anchors."""
+
+    def codes(batches):
+        for _, _, _, found in _chunks(batches, 0):
+            t, c = _inside(np.concatenate(found), np.cumsum([len(x) for x in found]))
+            # below the bits of the slot a code is mixed with its text, so that one sort of numbers tells what is distinct in a text
+            low = np.uint64((1 << (64 - SLOT_BITS)) - 1)
+            c = np.sort((c & ~low) | ((c ^ (t.astype(np.uint64) * _MIX)) & low))
+            yield c[np.diff(c, prepend=~c[:1]) != 0]
+
+    return _slot_counts(docs.select(F.col(f"`{text}`").alias("t")).where("t is not null and t <> ''"), codes)
+
+
+def anchor_counts(index: DataFrame) -> np.ndarray:
+    """How many anchors of all index rows fall into each slot: which are hot."""
+
+    def codes(batches):
+        for rb in batches:
+            if rb.num_rows:
+                yield np.concatenate([_codes_of(a) for a in rb.column(0).to_pylist()])
 
-    # at most as many rows as there are slots
-    found = sample.mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(1 << SLOT_BITS, np.int64)
-    counts[found.column("slot").to_numpy()] = found.column("n").to_numpy() * every
-    return counts
+    return _slot_counts(index.select("anchors"), codes)
 
 
 def indexed(docs: DataFrame, key: str, text: str, batch: str, counts: np.ndarray) -> DataFrame:
@@ -349,7 +386,7 @@ _PACKED = {"records": _RECORD, "bits": np.uint64, "low": np.uint32, "high": np.u
 def candidates(index: DataFrame, counts: np.ndarray, limit: int, partitions: int, again: bool = False) -> DataFrame:
     """(doc_id, other): pairs of a newcomer and an earlier target that may be similar; `other` null: some matches of the newcomer weren't looked at.
 
-    index: doc_id, batch, anchors, is_new, is_target; one row a class of copies. again: few records are new, so of the others only anchors
+    index: doc_id, batch, anchors, is_new, is_target; one row a class of copies. counts: of the load's anchors (`anchor_counts`). again: few records are new, so of the others only anchors
     in slots of theirs are shuffled.
     """
     limit *= NO_TAIL
@@ -479,8 +516,8 @@ def take_load(docs: DataFrame, key: str, text: str, batch: str, against=None, li
     copies = cut_lineage(copies)
     everyone = index.join(_sized(copies.select("doc_id", "batch")), ["doc_id", "batch"], "left_anti")
     reps = everyone.select("doc_id", "batch", "anchors", F.lit(True).alias("is_new"), F.lit(True).alias("is_target"))
-    n_anchors = index.agg(F.sum(F.octet_length("anchors") / 8)).first()[0] or 0
-    partitions = max(1, int(n_anchors / ROWS_A_PARTITION), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    held = anchor_counts(index)
+    partitions = max(1, int(held.sum()) // ROWS_A_PARTITION, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     with_copies = copies.select(F.col("rep").alias("doc_id"))
     edges, again = None, False
     if against is not None:
@@ -488,7 +525,7 @@ def take_load(docs: DataFrame, key: str, text: str, batch: str, against=None, li
         out = edges.select("doc_id").distinct().join(with_copies, "doc_id", "left_anti")
         reps = reps.drop("is_target").join(_sized(cut_lineage(out.withColumn("is_target", F.lit(False)))), "doc_id", "left").withColumn("is_target", F.coalesce("is_target", F.lit(True)))
     while True:
-        found = cut_lineage(candidates(reps, counts, limit, partitions, again=again))
+        found = cut_lineage(candidates(reps, held, limit, partitions, again=again))
         pairs = found.where("other is not null")
         more = cut_lineage(verified(pairs, docs, key, text))
         edges = more if edges is None else cut_lineage(edges.unionByName(more).distinct())

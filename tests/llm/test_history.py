@@ -204,3 +204,34 @@ def test_copies_of_a_rejected_record_find_what_was_hidden(spark):
     rows += [(50, 3, change(base, **common, w2="t", w56="u")), (60, 4, rows[-1][2])]
     want = brute(rows)
     assert got(spark, rows, limit=1) == want and {(60, 50), (60, 1)} <= want
+
+
+def slots(texts):
+    """How many distinct shingles of each text fall into each slot."""
+    found = [history._slot(history.shingles(t)) for t in texts]
+    return np.bincount(np.concatenate(found), minlength=1 << history.SLOT_BITS)
+
+
+def test_all_records_are_counted(spark):
+    """The order of shingles comes from every record of a table of any size, rare shingles too; repeated ones of a record count once."""
+    texts = [f"a{i} b{i % 7} c{i % 3} " + ("x y z x y z" if i % 5 else "") for i in range(40_000)] + ["one two", "", "w " * 9]
+    df = spark.createDataFrame([(i, 1, t) for i, t in enumerate([*texts, None])], "id long, batch int, text string")
+    counts = history.shingle_counts(df.repartition(5), "text")
+    assert np.array_equal(counts, slots(texts))
+    assert counts.sum() > 2 * len(texts) and (counts == 1).sum() > 1000
+    assert not history.shingle_counts(df.limit(0), "text").any()
+
+
+def test_hot_slots_are_those_of_the_whole_load(spark, tmp_path, monkeypatch):
+    """What is hot is counted on the anchors of the load at hand, not on the load that gave the order."""
+    seen, search = [], history.candidates
+    monkeypatch.setattr(history, "candidates", lambda index, counts, *a, **more: seen.append(counts) or search(index, counts, *a, **more))
+    kept = history.History(spark, f"file://{tmp_path}/history")
+    kept.add(spark.createDataFrame([(1, 1, "one two three")], "id long, batch int, text string"), "id", "text", "batch")
+    # of four shingles, three of which are in all texts, two are anchors
+    rows = [(10 + i, 2, f"h1 h2 h3 h4 h5 u{i}") for i in range(300)]
+    assert not kept.add(spark.createDataFrame(rows, "id long, batch int, text string"), "id", "text", "batch").count()
+    codes = [history._codes(t.split()) for _, _, t in rows]
+    own, _ = history.anchors(np.concatenate(codes), np.cumsum([len(c) for c in codes]), kept._order(None, None))
+    assert seen[0].sum() == 1 and seen[1].sum() == 600 and seen[1].max() >= 300
+    assert np.array_equal(seen[1], np.bincount(history._slot(own[:, 0]), minlength=1 << history.SLOT_BITS))
